@@ -3,13 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalogue import oracle
-from catalogue.fixture import bronze, derived
-from tallyframe.plans.reports import REPORTS, build_report
+from catalogue.fixture import YEARS, bronze, derived, table
+from tallyframe.functions.codes import STANDARD_CODES
+from tallyframe.functions.decode import (
+    canonical_columns,
+    decode,
+    decode_columns,
+    decode_with_lookup,
+    label_predicate,
+)
+from tallyframe.functions.metrics import (
+    average,
+    differs_or_null,
+    percent,
+    status_counts,
+    status_indicators,
+    summed,
+    wide_distribution,
+    wide_percents,
+)
+from tallyframe.operators.distribution import cumulative, frequencies, group_totals
+from tallyframe.operators.periods import (
+    compare_periods,
+    distinct_periods,
+    last_periods,
+    period_range,
+    union_periods,
+)
+from tallyframe.operators.shape import rename, round_columns, select_fixed, with_constants, with_time
+from tallyframe.plans.reports import REPORTS, build_report, scored_pupils
 from tallyframe.plans.silver import silver
+from tallyframe.plans.spec import ReportSpec, mapped_columns, profile
+from tallyframe.sources.keyed import absent_rows, pack_snapshot, unpack_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +63,587 @@ for _name in oracle.FIXTURE:
 
 for _name, _sql in oracle.reports().items():
     register(f"report_{_name}", lambda spark, sf, r=_name: build_report(r, bronze(spark, sf)), _sql)
+
+
+# --- report variants ----------------------------------------------------------
+
+register(
+    "report_national_pupil_year",
+    lambda spark, sf: build_report("national_pupil", bronze(spark, sf), periods="202324"),
+    oracle.pupil_report(
+        oracle.characteristics(), oracle.NATIONAL_PUPIL, "'National'", "AND p.time_period = '202324'"
+    ),
+)
+
+register(
+    "report_left_join_variant",
+    lambda spark, sf: build_report("national_pupil", bronze(spark, sf), how="left"),
+    oracle.pupil_report(oracle.characteristics(), oracle.NATIONAL_PUPIL, "'National'", how="LEFT JOIN"),
+)
+
+register(
+    "report_cumulative_keeping_null_groups",
+    lambda spark, sf: build_report("national_cumulative", bronze(spark, sf), drop_null_groups=False),
+    oracle.cumulative_report(keep_null_groups=True),
+)
+
+register(
+    "union_years",
+    lambda spark, sf: union_periods(
+        lambda year, b=bronze(spark, sf): build_report("national_school", b, periods=year), YEARS
+    ),
+    ORACLES["report_national_school"],
+)
+
+for _order, _name in (
+    ("area", "regional_la_pupil"),
+    ("establishment", "national_pupil"),
+    ("phase", "national_school"),
+    ("score", "national_cumulative"),
+):
+    register(
+        f"ordered_report_by_{_order}",
+        lambda spark, sf, r=_name: build_report(r, bronze(spark, sf), ordered=True),
+        ORACLES[f"report_{_name}"],
+    )
+
+register(
+    "dimension_filter_preimage",
+    lambda spark, sf: build_report(
+        "national_pupil",
+        bronze(spark, sf),
+        filters={"sex": "Girls", "ethnicity_major": "White", "disadvantage_status": "Disadvantaged"},
+    ),
+    oracle.pupil_report(
+        oracle.characteristics(),
+        oracle.NATIONAL_PUPIL,
+        "'National'",
+        "AND p.sex = 'Girls' AND p.ethnicity_major = 'White' AND c.disadvantage_status = 'Disadvantaged'",
+    ),
+)
+
+register(
+    "dimension_filter_region",
+    lambda spark, sf: build_report(
+        "regional_la_pupil_scores",
+        bronze(spark, sf),
+        periods=["202324", "202425"],
+        filters={"geographic_level": "Regional", "region_name": "EUROPE", "sex": "Total"},
+    ),
+    oracle.pupil_report(
+        oracle.scores(),
+        oracle.REGIONAL_PUPIL,
+        "'Regional'",
+        "AND g.region_name = 'EUROPE' AND p.sex = 'Total' AND p.time_period IN ('202324', '202425')",
+    ),
+)
+
+_COMPARED = ("eligible_pupil_count", "completed_check_pupil_count", "mtc_score_average")
+_SCHOOL_REPORT_DIMS = REPORTS["national_school"].dims
+register(
+    "compare_periods",
+    lambda spark, sf: compare_periods(
+        build_report("national_school", bronze(spark, sf), periods=["202324", "202425"]),
+        _SCHOOL_REPORT_DIMS,
+        _COMPARED,
+        "202324",
+        "202425",
+    ),
+    "WITH gold AS (" + ORACLES["report_national_school"] + ")\nSELECT "
+    + ", ".join(f"coalesce(a.{d}, b.{d}) AS {d}" for d in _SCHOOL_REPORT_DIMS)
+    + ", "
+    + ", ".join(
+        f"a.{m} AS {m}_before, b.{m} AS {m}_after, b.{m} - a.{m} AS {m}_change, "
+        f"round((b.{m} - a.{m}) / nullif(a.{m}, 0) * 100, 1) AS {m}_change_percent"
+        for m in _COMPARED
+    )
+    + "\nFROM (SELECT * FROM gold WHERE time_period = '202324') a"
+    + "\nFULL JOIN (SELECT * FROM gold WHERE time_period = '202425') b ON "
+    + " AND ".join(f"a.{d} IS NOT DISTINCT FROM b.{d}" for d in _SCHOOL_REPORT_DIMS),
+)
+
+# --- decoding -----------------------------------------------------------------
+
+_ORDER_STATUS = {"F": "Filled", "O": "Open"}
+_ORDER_STATUS_CASE = "CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE {} END AS o_orderstatus"
+
+register(
+    "decode_default_total",
+    lambda spark, sf: table(spark, sf, "orders").select(
+        "o_orderkey", decode("o_orderstatus", _ORDER_STATUS, "Total").alias("o_orderstatus")
+    ),
+    f"SELECT o_orderkey, {_ORDER_STATUS_CASE.format(chr(39) + 'Total' + chr(39))} FROM orders",
+)
+
+register(
+    "decode_passthrough",
+    lambda spark, sf: table(spark, sf, "orders").select(
+        "o_orderkey", decode("o_orderstatus", _ORDER_STATUS).alias("o_orderstatus")
+    ),
+    f"SELECT o_orderkey, {_ORDER_STATUS_CASE.format('o_orderstatus')} FROM orders",
+)
+
+
+def _decode_join_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    lookup = table(spark, sf, "nation").select(
+        F.lit("nation").alias("column"), F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label")
+    )
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("nation")
+    )
+    return decode_with_lookup(customers, "nation", lookup.filter("label < 'R'"))
+
+
+register(
+    "decode_join_lookup",
+    _decode_join_lookup,
+    """SELECT c_custkey, coalesce(n_name, CAST(c_nationkey AS VARCHAR)) AS nation
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_name < 'R'""",
+)
+
+# Every code of every decoder beside an unknown code and NULL, spread over the orders.
+_ALL_CODES = {c: [*codes, "unknown code", None] for c, codes in STANDARD_CODES.items()}
+
+
+def _every_code(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders")
+
+    def pick(codes):
+        options = F.array(*[F.lit(c) for c in codes])
+        return F.element_at(options, (F.col("o_orderkey") % len(codes) + 1).cast("int"))
+
+    return orders.select("o_orderkey", *[pick(codes).alias(c) for c, codes in _ALL_CODES.items()])
+
+
+def _every_code_sql(body: str) -> str:
+    picks = ", ".join(
+        "([" + ", ".join("NULL" if c is None else f"'{c}'" for c in codes) + f"])[o_orderkey % {len(codes)} + 1] AS {column}"
+        for column, codes in _ALL_CODES.items()
+    )
+    return f"WITH {oracle.codes_cte()}, raw AS (SELECT o_orderkey, {picks} FROM orders)\n{body}"
+
+
+register(
+    "decode_every_code",
+    lambda spark, sf: decode_columns(_every_code(spark, sf)),
+    _every_code_sql(
+        "SELECT o_orderkey, " + ", ".join(f"{oracle.label(c, c)} AS {c}" for c in _ALL_CODES) + " FROM raw"
+    ),
+)
+
+register(
+    "decode_every_code_default_total",
+    lambda spark, sf: decode_columns(_every_code(spark, sf), default="Total"),
+    _every_code_sql(
+        "SELECT o_orderkey, "
+        + ", ".join(
+            f"coalesce((SELECT k.label FROM codes k WHERE k.col = '{c}' AND k.code = {c}), 'Total') AS {c}"
+            for c in _ALL_CODES
+        )
+        + " FROM raw"
+    ),
+)
+
+_CANONICAL_PAIR = ("ethnicity_minor", "sex")
+register(
+    "decode_after_grouping",
+    lambda spark, sf: decode_columns(
+        canonical_columns(_every_code(spark, sf), _CANONICAL_PAIR).groupBy(*_CANONICAL_PAIR).agg(F.count("*").alias("n"))
+    ),
+    _every_code_sql(
+        "SELECT "
+        + ", ".join(f"{oracle.label(c, c)} AS {c}" for c in _CANONICAL_PAIR)
+        + ", count(*) AS n FROM raw GROUP BY 1, 2"
+    ),
+)
+
+# --- shape, filters, joins ----------------------------------------------------
+
+register(
+    "rename_and_fixed_schema",
+    lambda spark, sf: select_fixed(
+        round_columns(
+            rename(
+                table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"),
+                {"c_custkey": "customer_id", "c_name": "customer_name", "c_absent": "absent"},
+            ),
+            ["c_acctbal", "c_other"],
+        ).drop("c_name"),
+        {"customer_name": "string", "customer_id": "bigint", "c_acctbal": "double", "region": "string", "visits": "int"},
+    ),
+    """SELECT c_name AS customer_name, c_custkey AS customer_id, round(c_acctbal, 1) AS c_acctbal,
+  CAST(NULL AS VARCHAR) AS region, CAST(NULL AS INTEGER) AS visits FROM customer""",
+)
+
+register(
+    "constant_columns",
+    lambda spark, sf: with_constants(
+        with_time(table(spark, sf, "customer").select("c_custkey"), "202122"), geographic_level="National"
+    ),
+    """SELECT c_custkey, '202122' AS time_period, 'Academic year' AS time_identifier,
+  'National' AS geographic_level FROM customer""",
+)
+
+register(
+    "mapping_table_rename",
+    lambda spark, sf: mapped_columns(
+        table(spark, sf, "customer"),
+        spark.createDataFrame(
+            [
+                ("balances", "c_custkey", "account"),
+                ("balances", "c_acctbal", "balance"),
+                ("balances", "c_mktsegment", "segment"),
+                ("balances", "c_mktsegment", "market"),
+                ("balances", "c_missing", "missing"),
+                ("other", "c_custkey", "id"),
+            ],
+            "report_id string, source_column string, target_column string",
+        ),
+        "balances",
+    ),
+    "SELECT c_custkey AS account, c_acctbal AS balance, c_mktsegment AS segment, c_mktsegment AS market FROM customer",
+)
+
+register(
+    "null_aware_inequality",
+    lambda spark, sf: derived(spark, sf, "results").filter(differs_or_null("completion_status", "C")).select(
+        "pupil_id", "acad_year_code", "completion_status"
+    ),
+    oracle.with_tables(
+        "results",
+        body="SELECT pupil_id, acad_year_code, completion_status FROM results "
+        "WHERE completion_status <> 'C' OR completion_status IS NULL",
+    ),
+)
+
+register(
+    "level_filter_bridge",
+    lambda spark, sf: silver("pupil", derived(spark, sf, "pupil"))
+    .select("pupil_id", "new_la_code")
+    .join(silver("geography", derived(spark, sf, "geography")), "new_la_code")
+    .filter(F.col("geographic_level").isin("Regional", "Local authority"))
+    .groupBy("geographic_level", "region_name", "la_name")
+    .agg(F.count("pupil_id").alias("pupil_rows")),
+    oracle.with_views(
+        "v_pupil", "v_geography",
+        body="""SELECT g.geographic_level, g.region_name, g.la_name, count(p.pupil_id) AS pupil_rows
+FROM v_pupil p JOIN v_geography g USING (new_la_code)
+WHERE g.geographic_level <> 'National' GROUP BY ALL""",
+    ),
+)
+
+register(
+    "label_predicate_default_label",
+    lambda spark, sf: derived(spark, sf, "pupil").filter(
+        label_predicate("gender", "Total", STANDARD_CODES["sex"], "Total")
+        | label_predicate("ethnic_minor_group", ["ZZZZ", "Indian"], STANDARD_CODES["ethnicity_minor"])
+    ).select("pupil_id", "acad_year_code", "gender", "ethnic_minor_group"),
+    oracle.with_views(
+        "v_pupil",
+        body="""SELECT p.pupil_id, p.acad_year_code, p.gender, p.ethnic_minor_group FROM pupil p
+WHERE coalesce(p.gender, '') NOT IN ('M', 'F') OR p.ethnic_minor_group IN ('ZZZZ', 'AIND', 'Indian')""",
+    ),
+)
+
+# --- aggregates on other tables -----------------------------------------------
+
+_FLAGS = {"A": "accepted_count", "N": "none_count", "R": "returned_count"}
+
+
+def _status_counts_by_segment(spark: SparkSession, sf: str) -> DataFrame:
+    # The dimension sits two joins away, so lines are summed per order and orders per customer first.
+    counts = ["line_count", "not_accepted_count", *_FLAGS.values()]
+    per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count("l_linenumber").alias("line_count"),
+        F.count_if(differs_or_null("l_returnflag", "A")).alias("not_accepted_count"),
+        *status_counts("l_returnflag", _FLAGS),
+    )
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    per_customer = (
+        per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(*summed(counts))
+    )
+    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return (
+        per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_mktsegment")
+        .agg(*summed(counts))
+        .select("*", *[percent(n, "line_count").alias(n.replace("_count", "_percent")) for n in counts[1:]])
+    )
+
+
+_FLAG_SQL = {"not_accepted": "IS DISTINCT FROM 'A'", **{n.removesuffix("_count"): f"= '{c}'" for c, n in _FLAGS.items()}}
+register(
+    "status_counts_by_segment",
+    _status_counts_by_segment,
+    "SELECT c_mktsegment, count(l_linenumber) AS line_count, "
+    + ", ".join(
+        f"count(*) FILTER (WHERE l_returnflag {test}) AS {n}_count, "
+        f"round(count(*) FILTER (WHERE l_returnflag {test}) / nullif(count(l_linenumber), 0) * 100, 0) AS {n}_percent"
+        for n, test in _FLAG_SQL.items()
+    )
+    + " FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY c_mktsegment",
+)
+
+register(
+    "status_indicators",
+    lambda spark, sf: table(spark, sf, "lineitem")
+    .select("l_orderkey", "l_linenumber", "l_returnflag")
+    .withColumns(status_indicators("l_returnflag", {"A": "is_accepted", "R": "is_returned"})),
+    """SELECT l_orderkey, l_linenumber, l_returnflag, CAST(l_returnflag IS NOT DISTINCT FROM 'A' AS INTEGER) AS is_accepted,
+  CAST(l_returnflag IS NOT DISTINCT FROM 'R' AS INTEGER) AS is_returned FROM lineitem""",
+)
+
+
+def _distinct_and_guarded_average(spark: SparkSession, sf: str) -> DataFrame:
+    per_customer = table(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.count("o_orderkey").alias("order_count"),
+        F.count_if(F.col("o_orderstatus") == "P").alias("pending_count"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
+    )
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return (
+        per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_nationkey")
+        .agg(
+            F.countDistinct("c_custkey").alias("customer_count"),
+            *summed(["order_count", "pending_count"]),
+            F.sum("total").cast("double").alias("price_total"),
+        )
+        .withColumn("price_per_pending", average("price_total", "pending_count"))
+    )
+
+
+register(
+    "distinct_and_guarded_average",
+    _distinct_and_guarded_average,
+    """SELECT c_nationkey, count(DISTINCT c_custkey) AS customer_count, count(o_orderkey) AS order_count,
+  count(*) FILTER (WHERE o_orderstatus = 'P') AS pending_count,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS price_total,
+  round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+    / nullif(count(*) FILTER (WHERE o_orderstatus = 'P'), 0), 1) AS price_per_pending
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_nationkey""",
+)
+
+_QUANTITIES = range(50, 0, -1)
+register(
+    "wide_quantity_distribution",
+    lambda spark, sf: table(spark, sf, "lineitem")
+    .groupBy("l_linestatus")
+    .agg(
+        F.count_if(F.col("l_returnflag") != "N").alias("settled_count"),
+        *wide_distribution("l_quantity", _QUANTITIES, "quantity_{}_count", when=F.col("l_returnflag") != "N"),
+    )
+    .select(
+        "*", *wide_percents(_QUANTITIES, "quantity_{}_count", "settled_count", "quantity_{}_percent")
+    ),
+    "SELECT l_linestatus, count(*) FILTER (WHERE l_returnflag <> 'N') AS settled_count, "
+    + ", ".join(
+        f"count(*) FILTER (WHERE l_returnflag <> 'N' AND l_quantity = {q}) AS quantity_{q}_count, "
+        f"round(count(*) FILTER (WHERE l_returnflag <> 'N' AND l_quantity = {q}) "
+        f"/ nullif(count(*) FILTER (WHERE l_returnflag <> 'N'), 0) * 100, 0) AS quantity_{q}_percent"
+        for q in _QUANTITIES
+    )
+    + " FROM lineitem GROUP BY l_linestatus",
+)
+
+def _cumulative_quantity(spark: SparkSession, sf: str, descending: bool = True) -> DataFrame:
+    counts = frequencies(
+        table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("int")),
+        ["l_returnflag", "l_quantity"],
+        "line_count",
+    )
+    return cumulative(
+        counts, ["l_returnflag"], "l_quantity", "line_count", "running_count", "running_percent", descending
+    )
+
+
+def _cumulative_quantity_sql(direction: str) -> str:
+    return f"""WITH n AS (SELECT l_returnflag, CAST(l_quantity AS INTEGER) AS l_quantity, count(*) AS line_count
+  FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, l_quantity, line_count,
+  CAST(sum(line_count) OVER w AS BIGINT) AS running_count,
+  round(sum(line_count) OVER w / sum(line_count) OVER (PARTITION BY l_returnflag) * 100, 0) AS running_percent
+FROM n WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_quantity {direction} ROWS UNBOUNDED PRECEDING)"""
+
+
+register("cumulative_quantity", _cumulative_quantity, _cumulative_quantity_sql("DESC"))
+register(
+    "cumulative_quantity_ascending",
+    lambda spark, sf: _cumulative_quantity(spark, sf, descending=False),
+    _cumulative_quantity_sql("ASC"),
+)
+
+
+def _cumulative_without_null_groups(spark: SparkSession, sf: str) -> DataFrame:
+    counts = frequencies(
+        scored_pupils(bronze(spark, sf), "establishment_type_group", "sex"),
+        ["time_period", "establishment_type_group", "sex", "mtc_score"],
+        "pupil_count",
+    )
+    return cumulative(
+        counts, ["time_period", "establishment_type_group", "sex"], "mtc_score", "pupil_count",
+        "running_count", "running_percent", drop_null_groups=True,
+    )
+
+
+_RAW_SCORES = """n AS (SELECT p.acad_year_code AS time_period, estab_type_group AS establishment_type_group,
+    gender AS sex, pupil_mark AS mtc_score, count(*) AS pupil_count
+  FROM pupil p JOIN results r ON r.pupil_id = p.pupil_id AND r.acad_year_code = p.acad_year_code GROUP BY ALL)"""
+register(
+    "cumulative_without_null_groups",
+    _cumulative_without_null_groups,
+    oracle.with_tables(
+        "pupil", "results",
+        body="SELECT * FROM (WITH " + _RAW_SCORES + """,
+t AS (SELECT time_period, establishment_type_group, sex, sum(pupil_count) AS total FROM n GROUP BY ALL)
+SELECT time_period, establishment_type_group, sex, mtc_score, pupil_count,
+  CAST(sum(pupil_count) OVER w AS BIGINT) AS running_count,
+  round(sum(pupil_count) OVER w / nullif(total, 0) * 100, 0) AS running_percent
+FROM n JOIN t USING (time_period, establishment_type_group, sex)
+WINDOW w AS (PARTITION BY time_period, establishment_type_group, sex ORDER BY mtc_score DESC NULLS LAST
+  ROWS UNBOUNDED PRECEDING))""",
+    ),
+)
+
+register(
+    "frequency_totals",
+    lambda spark, sf: group_totals(
+        frequencies(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus", "l_quantity"], "line_count"),
+        ["l_returnflag", "l_linestatus"], "line_count", "total_lines",
+    ),
+    "SELECT l_returnflag, l_linestatus, count(*) AS total_lines FROM lineitem GROUP BY ALL",
+)
+
+# --- described reports --------------------------------------------------------
+
+SPEC = ReportSpec(
+    base="customer",
+    joins={"orders": ("c_custkey", "o_custkey")},
+    columns={
+        "segment": "customer.c_mktsegment",
+        "nation": "customer.c_nationkey",
+        "customers": "count(DISTINCT customer.c_custkey)",
+        "orders": "count(orders.o_orderkey)",
+        "open_orders": "count_if(orders.o_orderstatus = 'O')",
+        "first_order": "min(orders.o_orderkey)",
+    },
+    filters=("customer.c_acctbal > 0", "orders.o_orderpriority IS NULL OR orders.o_orderpriority <> '5-LOW'"),
+    group_by=("segment", "nation"),
+    order_by=("segment", "orders DESC"),
+)
+_SPEC_ROWS = """FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+WHERE c_acctbal > 0 AND (o_orderpriority IS NULL OR o_orderpriority <> '5-LOW')"""
+
+_DETAIL_SPEC = ReportSpec(
+    base="customer",
+    joins={"orders": ("c_custkey", "o_custkey")},
+    columns={"customer": "customer.c_custkey", "order": "orders.o_orderkey", "status": "lower(orders.o_orderstatus)"},
+)
+
+
+def _spec_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {t: table(spark, sf, t) for t in ("customer", "orders")}
+
+
+register(
+    "spec_report",
+    lambda spark, sf: SPEC.build(_spec_tables(spark, sf)),
+    f"""SELECT c_mktsegment AS segment, c_nationkey AS nation, count(DISTINCT c_custkey) AS customers,
+  count(o_orderkey) AS orders, count(*) FILTER (WHERE o_orderstatus = 'O') AS open_orders, min(o_orderkey) AS first_order
+{_SPEC_ROWS} GROUP BY ALL""",
+)
+
+register(
+    "spec_report_without_groups",
+    lambda spark, sf: _DETAIL_SPEC.build(_spec_tables(spark, sf)),
+    """SELECT c_custkey AS customer, o_orderkey AS "order", lower(o_orderstatus) AS status
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey""",
+)
+
+register(
+    "spec_validation",
+    lambda spark, sf: profile(_DETAIL_SPEC.build(_spec_tables(spark, sf))),
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS column_name, count(*) AS row_count, count({col}) AS value_count, "
+        f"count(*) - count({col}) AS null_count FROM customer LEFT JOIN orders ON c_custkey = o_custkey"
+        for name, col in (("customer", "c_custkey"), ("order", "o_orderkey"), ("status", "o_orderstatus"))
+    ),
+)
+
+# --- periods ------------------------------------------------------------------
+
+register(
+    "distinct_periods",
+    lambda spark, sf: distinct_periods(derived(spark, sf, "pupil"), "acad_year_code"),
+    oracle.with_tables("pupil", body="SELECT DISTINCT acad_year_code FROM pupil"),
+)
+
+register(
+    "last_n_periods",
+    lambda spark, sf: last_periods(derived(spark, sf, "pupil"), 3, "acad_year_code").select(
+        "pupil_id", "acad_year_code", "school_id"
+    ),
+    oracle.with_tables(
+        "pupil",
+        body="SELECT pupil_id, acad_year_code, school_id FROM pupil WHERE acad_year_code IN "
+        "(SELECT DISTINCT acad_year_code FROM pupil ORDER BY 1 DESC LIMIT 3)",
+    ),
+)
+
+register(
+    "latest_period",
+    lambda spark, sf: last_periods(derived(spark, sf, "results"), column="acad_year_code").select("pupil_id", "pupil_mark"),
+    oracle.with_tables(
+        "results",
+        body="SELECT pupil_id, pupil_mark FROM results WHERE acad_year_code = (SELECT max(acad_year_code) FROM results)",
+    ),
+)
+
+register(
+    "period_range",
+    lambda spark, sf: period_range(derived(spark, sf, "pupil"), "202223", "202324", "acad_year_code").select(
+        "pupil_id", "acad_year_code"
+    ),
+    oracle.with_tables(
+        "pupil",
+        body="SELECT pupil_id, acad_year_code FROM pupil WHERE acad_year_code IN ('202223', '202324')",
+    ),
+)
+
+# --- stored results -----------------------------------------------------------
+
+
+def _snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    pupils = derived(spark, sf, "pupil").drop("load_date")
+    packed = pack_snapshot(pupils, "PUPILS_V1", datetime(2025, 1, 1))
+    return unpack_snapshot(packed, pupils.schema)
+
+
+register(
+    "snapshot_roundtrip",
+    _snapshot_roundtrip,
+    oracle.with_tables("pupil", body="SELECT * EXCLUDE (load_date) FROM pupil"),
+)
+
+
+def _insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ["pupil_id", "acad_year_code"]
+    new = (
+        derived(spark, sf, "pupil").select(*keys, F.lit("pupil").alias("origin"))
+        .unionByName(derived(spark, sf, "claimcare").select(*keys, F.lit("claimcare").alias("origin")))
+    )
+    return absent_rows(derived(spark, sf, "results"), new, keys)
+
+
+register(
+    "insert_if_absent",
+    _insert_if_absent,
+    oracle.with_tables(
+        "pupil", "claimcare", "results",
+        body="""SELECT pupil_id, acad_year_code, min(origin) AS origin FROM (
+  SELECT pupil_id, acad_year_code, 'pupil' AS origin FROM pupil
+  UNION ALL SELECT pupil_id, acad_year_code, 'claimcare' FROM claimcare) n
+WHERE NOT EXISTS (SELECT 1 FROM results r WHERE r.pupil_id = n.pupil_id AND r.acad_year_code = n.acad_year_code)
+GROUP BY ALL""",
+    ),
+)

@@ -24,11 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions.codes import STANDARD_CODES
-from tallyframe.functions.decode import canonical_columns, decode_columns, label_predicate
-from tallyframe.functions.decode import PASSTHROUGH
-from tallyframe.functions.codes import DEFAULT_LABELS
+from tallyframe.functions.codes import DEFAULT_LABELS, STANDARD_CODES
 from tallyframe.functions.columns import SOURCES
+from tallyframe.functions.decode import PASSTHROUGH, canonical_columns, decode_columns, label_predicate
 from tallyframe.functions.metrics import (
     average,
     differs_or_null,
