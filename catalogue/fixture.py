@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.sources.bronze import Bronze, conform
+from tallyframe.sources.bronze import Bronze
 
 YEARS = ("202122", "202223", "202324", "202425")
 _YEARS = "(VALUES ('202122',0),('202223',1),('202324',2),('202425',3)) AS y(acad_year_code, yi)"
@@ -67,14 +69,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw table over the files in ``sf_dir``."""
+def _derive(spark: SparkSession, name: str, read: Callable[[str], DataFrame]) -> DataFrame:
     text = SQL[name]
     used = [t for t in _TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", text)]
     for t in used:
         text = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
-    return conform(spark.sql(text, **{t: table(spark, sf_dir, t) for t in used}), name)
+    return spark.sql(text, **{t: read(t) for t in used})
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw table over the files in ``sf_dir``."""
+    return _derive(spark, name, lambda t: table(spark, sf_dir, t))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    return Bronze(**{name: derived(spark, sf_dir, name) for name in SQL})
+    read = cache(lambda t: table(spark, sf_dir, t))
+    return Bronze(**{name: _derive(spark, name, read) for name in SQL})

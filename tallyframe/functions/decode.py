@@ -17,27 +17,35 @@ from tallyframe.functions.codes import DEFAULT_LABELS, STANDARD_CODES
 PASSTHROUGH = object()
 
 
-def _codes_by_label(mapping: Mapping[str, str]) -> dict[str, list[str]]:
-    grouped: dict[str, list[str]] = {}
-    for code, label in mapping.items():
-        grouped.setdefault(label, []).append(code)
-    return grouped
-
-
 def _fallback(raw: Column, default) -> Column:
     return raw if default is PASSTHROUGH else F.lit(default)
 
 
+def _lookup(raw: Column, mapping: Mapping[str, str], missing: Column) -> Column:
+    """Value of ``raw`` in a constant map, or ``missing``.
+
+    The map folds to one literal. A CASE with a branch per code costs several hundred bytes of generated
+    code for each column, and a stage that decodes ten columns beside forty aggregates then passes the
+    size up to which the JVM compiles a method at all.
+    """
+    if not mapping:
+        return missing
+    # as one parsed expression: column calls for every code would dominate the time to build a plan
+    table = F.expr("map(" + ", ".join(_quoted(text) for pair in mapping.items() for text in pair) + ")")
+    return F.coalesce(F.try_element_at(table, raw), missing)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def decode(column: str | Column, mapping: Mapping[str, str], default=PASSTHROUGH) -> Column:
-    """Label of a code: one flat CASE with one branch per label.
+    """Label of a code.
 
     ``default`` is the label of NULL and of codes missing from ``mapping``; by default they pass through.
     """
     raw = F.col(column) if isinstance(column, str) else column
-    branches = None
-    for label, codes in _codes_by_label(mapping).items():
-        branches = (F if branches is None else branches).when(raw.isin(codes), label)
-    return _fallback(raw, default) if branches is None else branches.otherwise(_fallback(raw, default))
+    return _lookup(raw, mapping, _fallback(raw, default))
 
 
 def canonical_code(column: str | Column, mapping: Mapping[str, str], default=PASSTHROUGH) -> Column:
@@ -47,19 +55,17 @@ def canonical_code(column: str | Column, mapping: Mapping[str, str], default=PAS
     one short code instead of a long label; the label is put in on the grouped rows.
     """
     raw = F.col(column) if isinstance(column, str) else column
-    passthrough = default is PASSTHROUGH
     short_of: dict[str, str] = {}
-    branches = None
-    for label, codes in _codes_by_label(mapping).items():
-        short = short_of[label] = min(codes, key=len)
-        if passthrough:
-            # the short code itself falls through; a raw value may already be the label
-            codes = [c for c in codes if c != short] + ([] if label in mapping else [label])
-        if codes:
-            branches = (F if branches is None else branches).when(raw.isin(codes), short)
-    # without a code of its own, a default label is reached through NULL
-    rest = raw if passthrough else F.lit(short_of.get(default)).cast("string")
-    return rest if branches is None else branches.otherwise(rest)
+    for code, label in mapping.items():
+        if label not in short_of or len(code) < len(short_of[label]):
+            short_of[label] = code
+    replaced = {code: short_of[label] for code, label in mapping.items()}
+    if default is PASSTHROUGH:
+        # a raw value may already be the label; codes that stand for themselves pass through anyway
+        replaced |= {label: short for label, short in short_of.items() if label not in mapping}
+        return _lookup(raw, {code: short for code, short in replaced.items() if code != short}, raw)
+    # a default label without a code of its own is reached through NULL
+    return _lookup(raw, replaced, F.lit(short_of.get(default)).cast("string"))
 
 
 def label_predicate(

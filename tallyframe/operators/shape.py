@@ -27,15 +27,23 @@ def renamed_select(df: DataFrame, names: Mapping[str, str], columns: Iterable[st
 
 def select_fixed(df: DataFrame, schema: T.StructType | Mapping[str, str | T.DataType]) -> DataFrame:
     """Exactly the columns of ``schema`` in its order, cast to its types; absent ones are typed NULLs."""
-    fields = (
-        {f.name: f.dataType for f in schema.fields} if isinstance(schema, T.StructType) else dict(schema)
-    )
-    present = set(df.columns)
+    if not isinstance(schema, T.StructType):
+        schema = T.StructType.fromDDL(", ".join(f"`{n}` {_ddl(t)}" for n, t in schema.items()))
+    found = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
-        *[(F.col(n) if n in present else F.lit(None)).cast(t).alias(n) for n, t in fields.items()]
+        *[
+            f.name
+            if found.get(f.name) == f.dataType
+            else (F.col(f.name) if f.name in found else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
     )
 
 
+def _ddl(data_type: str | T.DataType) -> str:
+    return data_type if isinstance(data_type, str) else data_type.simpleString()
+
+
 def with_constants(df: DataFrame, **values) -> DataFrame:
     """Add or overwrite literal columns."""
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
