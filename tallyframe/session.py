@@ -13,8 +13,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key also where that costs one more shuffle (chained fact joins share a partitioning)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # join by hash instead of sorting where every partition turns out small enough at run time
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # lets tables bucketed by pupil join on (pupil, year) without a shuffle
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # a report is several hundred column calls; recording the call site of each doubles the planning time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 CLUSTER_INITIAL_PARTITIONS = 4096
