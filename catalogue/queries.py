@@ -431,7 +431,7 @@ register(
     .groupBy("l_linestatus")
     .agg(
         F.count_if(F.col("l_returnflag") != "N").alias("settled_count"),
-        *wide_distribution("l_quantity", _QUANTITIES, "quantity_{}_count", when=F.col("l_returnflag") != "N"),
+        *wide_distribution("l_quantity", _QUANTITIES, "quantity_{}_count", when="l_returnflag <> 'N'"),
     )
     .select(
         "*", *wide_percents(_QUANTITIES, "quantity_{}_count", "settled_count", "quantity_{}_percent")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.codes import DEFAULT_LABELS, STANDARD_CODES
+from tallyframe.functions.sqltext import literal
 
 #: Default policy: codes missing from the mapping keep their raw value, NULL stays NULL.
 PASSTHROUGH = object()
@@ -31,14 +32,10 @@ def _lookup(raw: Column, mapping: Mapping[str, str], missing: Column) -> Column:
     if not mapping:
         return missing
     # as one parsed expression: column calls for every code would dominate the time to build a plan
-    table = F.expr("map(" + ", ".join(_quoted(text) for pair in mapping.items() for text in pair) + ")")
+    table = F.expr("map(" + ", ".join(literal(text) for pair in mapping.items() for text in pair) + ")")
     return F.coalesce(F.try_element_at(table, raw), missing)
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def decode(column: str | Column, mapping: Mapping[str, str], default=PASSTHROUGH) -> Column:
     """Label of a code.
 

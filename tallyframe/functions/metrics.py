@@ -1,4 +1,9 @@
-"""Aggregate and ratio expressions shared by all reports."""
+"""Aggregate and ratio expressions shared by all reports.
+
+Arguments are column names or SQL expressions, and each measure is parsed as one expression: a wide
+report has about a hundred of them, and composing every one from column calls would take longer to plan
+than a small report takes to run.
+"""
 
 from __future__ import annotations
 
@@ -7,56 +12,51 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+from tallyframe.functions.sqltext import literal, name
 
 
-def guarded_ratio(numerator: str | Column, denominator: str | Column) -> Column:
+def guarded_ratio(numerator: str, denominator: str) -> Column:
     """Quotient as a double; NULL where the denominator is zero or NULL, also under ANSI mode."""
-    return F.try_divide(_col(numerator), _col(denominator))
+    return F.expr(f"try_divide({numerator}, {denominator})")
 
 
-def average(total: str | Column, count: str | Column, scale: int = 1) -> Column:
-    return F.round(guarded_ratio(total, count), scale)
+def average(total: str, count: str, scale: int = 1) -> Column:
+    return F.expr(f"round(try_divide({total}, {count}), {scale})")
 
 
-def percent(part: str | Column, whole: str | Column, scale: int = 0) -> Column:
+def percent(part: str, whole: str, scale: int = 0) -> Column:
     """Percentage rounded half up; NULL where ``whole`` is zero or NULL."""
-    return F.round(guarded_ratio(part, whole) * 100, scale)
+    return F.expr(f"round(try_divide({part}, {whole}) * 100, {scale})")
 
 
-def differs_or_null(column: str | Column, value) -> Column:
+def differs_or_null(column: str, value: str) -> Column:
     """``column != value OR column IS NULL``."""
-    return ~_col(column).eqNullSafe(F.lit(value))
+    return ~F.col(column).eqNullSafe(F.lit(value))
 
 
-def status_counts(status: str | Column, names: Mapping[str, str]) -> list[Column]:
+def status_counts(status: str, names: Mapping[str, str]) -> list[Column]:
     """One conditional count per status code, named by ``names`` (code -> output column)."""
-    return [F.count_if(_col(status) == code).alias(name) for code, name in names.items()]
+    return [F.expr(f"count_if({status} = {literal(code)}) AS {name(out)}") for code, out in names.items()]
 
 
-def status_indicators(status: str | Column, names: Mapping[str, str]) -> dict[str, Column]:
+def status_indicators(status: str, names: Mapping[str, str]) -> dict[str, Column]:
     """0/1 columns per status code, for ``DataFrame.withColumns``."""
-    return {name: F.when(_col(status) == code, 1).otherwise(0) for code, name in names.items()}
+    return {out: F.when(F.col(status) == code, 1).otherwise(0) for code, out in names.items()}
 
 
-def wide_distribution(
-    value: str | Column, values: Iterable[int], name: str, when: Column | None = None
-) -> list[Column]:
-    """One count per listed value (a column each, 0 where unseen); ``name`` holds ``{}`` for the value."""
-    counts = []
-    for v in values:
-        hit = _col(value) == v
-        counts.append(F.count_if(hit if when is None else when & hit).alias(name.format(v)))
-    return counts
+def wide_distribution(value: str, values: Iterable[int], pattern: str, when: str = "true") -> list[Column]:
+    """One count per listed value (a column each, 0 where unseen); ``pattern`` holds ``{}`` for the value."""
+    return [F.expr(f"count_if(({when}) AND {value} = {v}) AS {name(pattern.format(v))}") for v in values]
 
 
-def wide_percents(values: Iterable[int], count_name: str, whole: str, name: str, scale: int = 0) -> list[Column]:
-    """Percentages of ``whole`` for the columns made by :func:`wide_distribution`."""
-    return [percent(count_name.format(v), whole, scale).alias(name.format(v)) for v in values]
+def wide_percents(values: Iterable[int], count: str, whole: str, pattern: str, scale: int = 0) -> list[Column]:
+    """Percentages of ``whole`` for the columns that :func:`wide_distribution` made with ``count``."""
+    return [
+        F.expr(f"round(try_divide({name(count.format(v))}, {whole}) * 100, {scale}) AS {name(pattern.format(v))}")
+        for v in values
+    ]
 
 
 def summed(names: Iterable[str]) -> list[Column]:
     """Second-level aggregates: partial counts and totals add up under the same name."""
-    return [F.sum(name).alias(name) for name in names]
+    return [F.expr(f"sum({name(n)}) AS {name(n)}") for n in names]

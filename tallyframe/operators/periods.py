@@ -67,11 +67,11 @@ def compare_periods(
     paired = only_periods(df, [before, after], column).groupBy(*dims).agg(*sides)
     changes = []
     for m in measures:
-        change = F.col(f"{m}_after") - F.col(f"{m}_before")
+        change = f"{m}_after - {m}_before"
         changes += [
             F.col(f"{m}_before"),
             F.col(f"{m}_after"),
-            change.alias(f"{m}_change"),
+            F.expr(change).alias(f"{m}_change"),
             percent(change, f"{m}_before", 1).alias(f"{m}_change_percent"),
         ]
     return paired.select(*dims, *changes)

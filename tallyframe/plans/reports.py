@@ -137,14 +137,13 @@ def pupil_measures() -> list:
 
     The score total takes every mark there is, not only those of completed checks.
     """
-    completed = F.col("completion_status") == COMPLETED
     return [
         F.count("pupil_id").alias(ELIGIBLE),
-        F.count_if(completed).alias(DONE),
+        *status_counts("completion_status", {COMPLETED: DONE}),
         F.count_if(differs_or_null("completion_status", COMPLETED)).alias(NOT_DONE),
         *status_counts("completion_status", REASON_COUNTS),
         F.sum("mtc_score").alias(SCORE_TOTAL),
-        *wide_distribution("mtc_score", SCORES, SCORE_COUNT, when=completed),
+        *wide_distribution("mtc_score", SCORES, SCORE_COUNT, when=f"completion_status = '{COMPLETED}'"),
     ]
 
 
@@ -220,7 +219,7 @@ def regional_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) ->
         .agg(F.countDistinct("school_id").alias(ESTABLISHMENTS), *pupil_measures())
     )
     placed = grouped.join(areas, "new_la_code").withColumns(
-        {name: F.col(name) * F.col("__copies") for name in ADDITIVE}
+        {name: F.expr(f"{name} * __copies") for name in ADDITIVE}
     )
     return decode_columns(placed.drop("__copies"), dims, codes)
 

@@ -21,10 +21,20 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-CLUSTER_INITIAL_PARTITIONS = 4096
+PARTITION_BYTES = 128 << 20
 
 
-def builder(app: str = "tallyframe", master: str | None = None) -> SparkSession.Builder:
+def initial_partitions(shuffle_bytes: int) -> int:
+    """Shuffle partitions of about 128 MB each. AQE merges small ones but never makes more than these."""
+    return min(max(200, -(-shuffle_bytes // PARTITION_BYTES)), 100_000)
+
+
+def builder(app: str = "tallyframe", master: str | None = None, shuffle_bytes: int = 1 << 40) -> SparkSession.Builder:
+    """Session builder for local runs (``master="local[8]"``) or a cluster.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to expect: for the reports, the columns they use of
+    the three fact tables.
+    """
     b = SparkSession.builder.appName(app)
     for key, value in SETTINGS.items():
         b = b.config(key, value)
@@ -32,4 +42,4 @@ def builder(app: str = "tallyframe", master: str | None = None) -> SparkSession.
         b = b.master(master)
     if master and master.startswith("local"):
         return b.config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-    return b.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(CLUSTER_INITIAL_PARTITIONS))
+    return b.config("spark.sql.shuffle.partitions", str(initial_partitions(shuffle_bytes)))

@@ -35,7 +35,7 @@ def test_wide_distribution_has_zero_columns_for_unseen_values(spark):
     df = spark.createDataFrame([(1, "C"), (1, "W"), (3, "C"), (None, "C")], "v int, s string")
     counts = df.agg(
         F.count_if(F.col("s") == "C").alias("done"),
-        *wide_distribution("v", [3, 2, 1], "v{}", when=F.col("s") == "C"),
+        *wide_distribution("v", [3, 2, 1], "v{}", when="s = 'C'"),
     )
     got = counts.select("*", *wide_percents([3, 2, 1], "v{}", "done", "p{}")).first().asDict()
     assert got == {"done": 3, "v3": 1, "v2": 0, "v1": 1, "p3": 33.0, "p2": 0.0, "p1": 33.0}

@@ -112,3 +112,20 @@ def test_compare_periods_pairs_null_dims_and_keeps_one_sided_groups(spark):
         ],
         key=repr,
     )
+
+
+def test_wider_extracts_rename_their_further_columns(spark):
+    df = spark.createDataFrame([("a", "b", "c")], "gor_code string, gender string, acad_year_label string")
+    from tallyframe.functions import columns
+
+    assert rename(df, columns.PUPIL | columns.PUPIL_EXTRA | columns.TIME).columns == [
+        "region_code", "sex", "time_identifier",
+    ]
+
+
+def test_partition_sizing():
+    from tallyframe.session import initial_partitions
+
+    assert initial_partitions(0) == 200
+    assert initial_partitions(1 << 40) == 8192
+    assert initial_partitions(100 << 40) == 100_000
