@@ -38,7 +38,7 @@ from tallyframe.functions.metrics import (
 )
 from tallyframe.operators.distribution import cumulative, frequencies
 from tallyframe.operators.shape import all_of, select_fixed, with_constants
-from tallyframe.plans.silver import TIME_IDENTIFIER, renamed, silver
+from tallyframe.plans.silver import TIME_IDENTIFIER, renamed
 from tallyframe.sources.bronze import Bronze
 
 # ---------------------------------------------------------------------------
@@ -183,10 +183,10 @@ CLAIMED_COLUMNS = (
 SCORED_COLUMNS = ("school_id", "new_la_code", "establishment_type_group", "sex")
 
 
-def _areas(geography: DataFrame, levels: Iterable[str], codes) -> DataFrame:
-    """Geography rows of the given levels. The level is tested on its raw code, within the scan."""
+def _areas(geography: DataFrame, levels: Iterable[str], codes, *columns: str) -> DataFrame:
+    """``columns`` of the geography rows of given levels. The level is tested on its raw code, in the scan."""
     level = label_predicate("geographic_lvl", levels, codes["geographic_level"])
-    return silver("geography", geography.filter(level), codes)
+    return decode_columns(renamed("geography", geography.filter(level), *columns), codes=codes)
 
 
 # --- families -----------------------------------------------------------------
@@ -195,7 +195,7 @@ def _areas(geography: DataFrame, levels: Iterable[str], codes) -> DataFrame:
 def national_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFrame:
     """By country and pupil characteristics. Authorities are dropped from the groups, so it joins first."""
     dims = NATIONAL_PUPIL_DIMS
-    areas = _areas(bronze.geography, NATIONAL, codes).select("new_la_code", *COUNTRY_DIMS)
+    areas = _areas(bronze.geography, NATIONAL, codes, "new_la_code", *COUNTRY_DIMS)
     rows = canonical_columns(facts, dims, codes).join(areas, "new_la_code")
     grouped = rows.groupBy("time_period", *COUNTRY_DIMS, *dims).agg(
         F.countDistinct("school_id").alias(ESTABLISHMENTS), *pupil_measures()
@@ -212,7 +212,7 @@ def regional_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) ->
     """
     dims = REGIONAL_PUPIL_DIMS
     area_keys = (*COUNTRY_DIMS, *AREA_DIMS)
-    areas = _areas(bronze.geography, REGIONAL_AND_LA, codes).groupBy(*area_keys).agg(F.count("*").alias("__copies"))
+    areas = frequencies(_areas(bronze.geography, REGIONAL_AND_LA, codes, *area_keys), area_keys, "__copies")
     grouped = (
         canonical_columns(facts, dims, codes)
         .groupBy("time_period", "new_la_code", *dims)
@@ -227,9 +227,8 @@ def regional_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) ->
 def school_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFrame:
     """By characteristics of the school: facts are summed per school, then schools are grouped."""
     per_school = facts.groupBy("time_period", "school_id").agg(*pupil_measures())
-    schools = silver("school", bronze.school, codes).select(
-        "school_id", "country_code", "country_name", *SCHOOL_DIMS
-    )
+    columns = ("school_id", "country_code", "country_name", *SCHOOL_DIMS)
+    schools = decode_columns(renamed("school", bronze.school, *columns), codes=codes)
     return with_constants(
         per_school.join(schools, "school_id", how)
         .groupBy("time_period", "country_code", "country_name", *SCHOOL_DIMS)
@@ -248,7 +247,7 @@ def cumulative_family(
         canonical_columns(completed, dims, codes), ["time_period", "new_la_code", *dims, "mtc_score"],
         "pupil_count", of="pupil_id",
     )
-    areas = _areas(bronze.geography, NATIONAL, codes).select("new_la_code", "country_code", "country_name")
+    areas = _areas(bronze.geography, NATIONAL, codes, "new_la_code", "country_code", "country_name")
     groups = ["time_period", "country_code", "country_name", *dims]
     counts = per_area.join(areas, "new_la_code").groupBy(*groups, "mtc_score").agg(*summed(["pupil_count"]))
     running = cumulative(

@@ -77,7 +77,9 @@ def test_hot_pupil_key_is_split(spark, bronze, no_broadcast):
 def test_hot_school_reaches_the_join_as_one_row(bronze, no_broadcast):
     df = build_report("national_school", bronze)
     text = final_plan(df)
-    assert "skew=true" not in text and "S0" not in text
+    assert "skew=true" not in text
+    below_join = text.split("SortMergeJoin [school_id")[1]
+    assert "HashAggregate(keys=[" in below_join.split("Join [pupil_id")[0]
     assert df.collect()[0]["eligible_pupil_count"] == PUPILS
 
 
