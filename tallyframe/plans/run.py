@@ -21,7 +21,7 @@ from tallyframe.plans.reports import (
 from tallyframe.plans.silver import renamed
 from tallyframe.sources.bronze import Bronze
 from tallyframe.sources.sinks import write_csv, write_table, year_suffix
-from tallyframe.sources.staging import Stage
+from tallyframe.sources.staging import Stage, run_together
 
 
 def staged_families(
@@ -40,14 +40,16 @@ def staged_families(
     """
     stage = stage or Stage(spark)
     bronze = bronze.for_periods(list(periods) if periods is not None else None)
-    facts = {
-        claimed_pupils: stage.table("claimed", claimed_pupils(bronze, *CLAIMED_COLUMNS, how=how)),
-        scored_pupils: stage.table("scored", scored_pupils(bronze, *SCORED_COLUMNS, how=how)),
-    }
-    return {
-        name: stage.table(f"wide_{name}", family.wide(bronze, codes, how, facts=facts[family.facts]))
-        for name, family in FAMILIES.items()
-    }
+    facts = stage.tables(
+        {
+            "claimed": claimed_pupils(bronze, *CLAIMED_COLUMNS, how=how),
+            "scored": scored_pupils(bronze, *SCORED_COLUMNS, how=how),
+        }
+    )
+    rows_of = {claimed_pupils: facts["claimed"], scored_pupils: facts["scored"]}
+    return stage.tables(
+        {name: family.wide(bronze, codes, how, facts=rows_of[family.facts]) for name, family in FAMILIES.items()}
+    )
 
 
 def all_reports(
@@ -78,11 +80,14 @@ def write_all_csv(
     decides: a report's parts, read in name order, are in report order.
     """
     years = sorted(set(periods)) if periods is not None else present_periods(bronze)
-    paths = {}
-    for name, df in all_reports(spark, bronze, years, **options).items():
-        paths[name] = f"{root}/{FILE_NAMES[name].format(years=year_suffix(years))}"
-        count = parts.get(name) if isinstance(parts, Mapping) else parts
-        write_csv(REPORTS[name].ordered(df), paths[name], count)
+    suffix = year_suffix(years)
+    paths = {name: f"{root}/{FILE_NAMES[name].format(years=suffix)}" for name in REPORTS}
+
+    def write(name: str, df: DataFrame) -> None:
+        write_csv(REPORTS[name].ordered(df), paths[name], parts.get(name) if isinstance(parts, Mapping) else parts)
+
+    finished = all_reports(spark, bronze, years, **options)
+    run_together(spark, [lambda n=name, d=df: write(n, d) for name, df in finished.items()])
     return paths
 
 

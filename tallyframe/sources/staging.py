@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -24,6 +27,14 @@ def staging_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tallyframe-")
 
 
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]]) -> None:
+    """Submit independent jobs at the same time, so the last tasks of one leave no executors idle."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
+
+
 class Stage:
     """Tables written once and read back by several later jobs.
 
@@ -35,7 +46,8 @@ class Stage:
         self._spark = spark
         self.path = f"{root or staging_root(spark)}/stage-{uuid.uuid4().hex}"
 
-    def table(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.path}/{name}"
-        df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+    def tables(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write each frame, all at the same time, and return them as stored tables."""
+        paths = {name: f"{self.path}/{name}" for name in frames}
+        run_together(self._spark, [lambda d=df, p=paths[n]: d.write.parquet(p) for n, df in frames.items()])
+        return {n: self._spark.read.schema(df.schema).parquet(paths[n]) for n, df in frames.items()}

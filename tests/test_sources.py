@@ -23,7 +23,7 @@ from tallyframe.sources.keyed import (
 )
 from tallyframe.sources.schemas import BRONZE
 from tallyframe.sources.sinks import write_csv, write_parquet, write_table, year_suffix
-from tallyframe.sources.staging import Stage, staging_root
+from tallyframe.sources.staging import Stage, run_together, staging_root
 from tests.conftest import plan, rows
 from tests.test_reports import as_bronze, random_tables
 
@@ -155,11 +155,20 @@ def test_csv_parts(spark, tmp_path):
 def test_staging_uses_the_shared_folder(spark):
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     stage = Stage(spark)
-    table = stage.table("numbers", spark.range(5))
+    table = stage.tables({"numbers": spark.range(5), "more": spark.range(9)})["numbers"]
     assert table.count() == 5 and stage.path.startswith(staging_root(spark))
     assert "Range" not in plan(table)
 
 
+def test_a_failing_job_is_reported(spark):
+    def fail():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        run_together(spark, [lambda: None, fail])
+    run_together(spark, [])
+
+
 def test_absent_rows(spark):
     schema = "a string, b int, c string"
     existing = spark.createDataFrame([("x", 1, "old")], schema)
