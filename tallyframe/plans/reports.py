@@ -225,14 +225,23 @@ def regional_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) ->
 
 
 def school_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFrame:
-    """By characteristics of the school: facts are summed per school, then schools are grouped."""
+    """By characteristics of the school: facts are summed per school, then schools are grouped.
+
+    A school meets each of its distinct descriptions once, so establishments are counted without DISTINCT
+    and schools are summed before the shuffle. Equal rows of the school table count their pupils once each.
+    """
     per_school = facts.groupBy("time_period", "school_id").agg(*pupil_measures())
     columns = ("school_id", "country_code", "country_name", *SCHOOL_DIMS)
-    schools = decode_columns(renamed("school", bronze.school, *columns), codes=codes)
+    schools = frequencies(
+        decode_columns(renamed("school", bronze.school, *columns), codes=codes), columns, "__copies"
+    )
     return with_constants(
         per_school.join(schools, "school_id", how)
         .groupBy("time_period", "country_code", "country_name", *SCHOOL_DIMS)
-        .agg(F.countDistinct("school_id").alias(ESTABLISHMENTS), *summed(ADDITIVE)),
+        .agg(
+            F.count("school_id").alias(ESTABLISHMENTS),
+            *[F.expr(f"sum({name} * coalesce(__copies, 1)) AS {name}") for name in ADDITIVE],
+        ),
         geographic_level="National",
     )
 

@@ -46,6 +46,7 @@ def random_tables(seed, pupils=260):
             }
         )
     t["school"].append(dict(t["school"][0]))
+    t["school"].append(dict(t["school"][1], religious_character="RC"))
     for i in range(pupils):
         for y in years:
             key = {"pupil_id": f"P{i}", "acad_year_code": y}
