@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from catalogue import fixture
+from catalogue import fixture, queries
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = (
@@ -34,7 +34,7 @@ def normal(columns, data):
     return [columns[i] for i in order], sorted((tuple(value(r[i]) for i in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", queries.QUERIES)
 def test_query_matches_oracle(spark, oracle, name):
     df = contract.queries()[name](spark, SMALL)
     got = normal(df.columns, [tuple(r) for r in df.collect()])
@@ -43,7 +43,9 @@ def test_query_matches_oracle(spark, oracle, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(queries.QUERIES) == set(queries.ORACLES)
+    assert set(queries.QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
