@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.bpe import encode_documents
 from tallyframe.llm.exact_dedup import exact_duplicates
 from tallyframe.llm.line_dedup import repeated_lines
 from tallyframe.llm.mixing import mix
@@ -76,3 +77,16 @@ SELECT doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
 FROM k LEFT JOIN r ON k.key = r.key
 GROUP BY doc_id
 """
+
+
+@_query
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    encoded = encode_documents(_documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
