@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: text bytes that a step sees at once; a longer single text comes alone
 STEP_BYTES = 4 << 20
+STEP_ROWS = 4096
 
 Step = Callable[[pa.RecordBatch], pa.RecordBatch]
 
@@ -18,11 +20,11 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def in_steps(batch: pa.RecordBatch, text_col: str, step_bytes: int) -> Iterator[pa.RecordBatch]:
+def in_steps(batch: pa.RecordBatch, text_col: str, step_bytes: int, step_rows: int) -> Iterator[pa.RecordBatch]:
     sizes = pa.compute.binary_length(batch.column(text_col)).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
-        if held and held + (size or 0) > step_bytes:
+        if i - start >= step_rows or held and held + (size or 0) > step_bytes:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size or 0
@@ -30,17 +32,31 @@ def in_steps(batch: pa.RecordBatch, text_col: str, step_bytes: int) -> Iterator[
         yield batch.slice(start)
 
 
+def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, and where each begins and ends in them."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
 def map_texts(
-    df: DataFrame, setup: Callable[[], Step], schema: str, text_col: str = "text", step_bytes: int = STEP_BYTES
+    df: DataFrame,
+    setup: Callable[[], Step],
+    schema: str,
+    text_col: str = "text",
+    step_bytes: int = STEP_BYTES,
+    step_rows: int = STEP_ROWS,
 ) -> DataFrame:
-    """``setup()`` once per task gives the step that every batch of about ``step_bytes`` of text goes through."""
+    """``setup()`` once per task gives the step for batches of about ``step_bytes`` of text and few enough rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
 
         step = setup()
         for batch in batches:
-            for part in in_steps(batch, text_col, step_bytes):
+            for part in in_steps(batch, text_col, step_bytes, step_rows):
                 yield step(part)
 
     return df.mapInArrow(run, schema)

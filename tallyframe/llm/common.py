@@ -42,6 +42,34 @@ def join_ids(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner
     return left.join(other, condition, how).drop(*[f"_right_{c}" for c in on])
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is in the column ``doc_id`` of ``kept``; null is an id like others."""
-    return join_ids(docs, kept.select(F.col("doc_id").alias(id_col)), [id_col], "left_semi")
+#: column that tells apart rows of one id while decisions about them are applied
+TEXT_HASH = "_llm_text_hash"
+
+
+def with_text_hash(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    return docs.withColumn(TEXT_HASH, F.xxhash64(text_of(text_col)))
+
+
+def keep_rows(hashed: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of a table with text hashes that have the id and hash of some row of ``kept`` (two columns)."""
+    keys = kept.toDF(id_col, TEXT_HASH)
+    return join_ids(hashed, keys, [id_col, TEXT_HASH], "left_semi").drop(TEXT_HASH)
+
+
+def keep_one_each(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that decisions (doc_id, text_hash, kept) keep, one for each kept decision.
+
+    Rows that repeat both id and text are one kept row: the one with the least values, column by column.
+    """
+    hashed = with_text_hash(docs, text_col)
+    kept = decisions.filter("kept").select("doc_id", "text_hash")
+    repeats = decisions.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    repeats = repeats.filter("kept AND n > 1").select("doc_id", "text_hash")
+    if repeats.isEmpty():
+        return keep_rows(hashed, kept, id_col)
+    repeats = repeats.toDF(id_col, TEXT_HASH)
+    others = join_ids(hashed, repeats, [id_col, TEXT_HASH], "left_anti")
+    again = join_ids(hashed, repeats, [id_col, TEXT_HASH], "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = again.groupBy(id_col, TEXT_HASH).agg(F.min(row).alias("_llm_row")).select("_llm_row.*")
+    return keep_rows(others, kept, id_col).unionAll(again)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import SPACES, checkpointed, join_ids, keep_rows, text_of
+from tallyframe.llm.common import SPACES, checkpointed, keep_one_each, text_of
 
 #: runs merged into one at each level
 FAN_IN = 16
@@ -33,14 +33,20 @@ def exact_duplicates(
     counts as an id. Rows that repeat an id are rows of their own: one of them stays. An empty table gives no
     rows. Other columns are not read, whatever their names. Text length is bounded by one row's memory only.
 
-    Columns: doc_id, keep_id, group_size, kept, text_sha256, n_chars.
+    Columns: doc_id, keep_id, group_size, kept, text_sha256, n_chars, text_hash (of the original text).
     """
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    texts = source.select("doc_id", F.length("text").alias("n_chars"), F.regexp_replace("text", SPACES, "").alias("norm"))
+    texts = source.select(
+        "doc_id",
+        F.length("text").alias("n_chars"),
+        F.xxhash64("text").alias("text_hash"),
+        F.regexp_replace("text", SPACES, "").alias("norm"),
+    )
     rows = checkpointed(
         texts.select(
             "doc_id",
             "n_chars",
+            "text_hash",
             F.unhex(F.sha2("norm", 256)).alias("digest"),
             F.octet_length("norm").alias("n_norm"),
             F.xxhash64("norm").alias("proof"),
@@ -65,32 +71,11 @@ def exact_duplicates(
         (F.bitwise_not("best.row_down") == F.col("row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
         "n_chars",
+        "text_hash",
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Where rows repeat an id, the one with the least values (column by column) of those with the id, text length
-    and normalised text of the row that stays is taken.
-    """
-    decisions = checkpointed(exact_duplicates(docs, id_col, text_col))
-    kept = decisions.filter("kept").select("doc_id")
-    repeats = decisions.groupBy("doc_id").count().filter("count > 1")
-    out = keep_rows(docs, kept, id_col)
-    if repeats.isEmpty():
-        return out
-    ids = repeats.select(F.col("doc_id").alias(id_col))
-    once = join_ids(out, ids, [id_col], "left_anti")
-    some = join_ids(out, ids, [id_col], "left_semi")
-    norm = F.sha2(F.regexp_replace(text_of(text_col), SPACES, ""), 256)
-    wanted = decisions.filter("kept").select("doc_id", "text_sha256", "n_chars")
-    keyed = some.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-        F.col(id_col).alias("doc_id"),
-        norm.alias("text_sha256"),
-        F.length(text_of(text_col)).cast("int").alias("n_chars"),
-    )
-    best = keyed.groupBy("doc_id", "text_sha256", "n_chars").agg(F.min("row").alias("row"))
-    one = join_ids(best, wanted, ["doc_id", "text_sha256", "n_chars"], "left_semi")
-    return once.unionAll(one.select("row.*"))
+    """The rows of ``docs`` that stay, with all their columns, one of each group of equal texts."""
+    decisions = checkpointed(exact_duplicates(docs, id_col, text_col).select("doc_id", "text_hash", "kept"))
+    return keep_one_each(docs, decisions, id_col, text_col)

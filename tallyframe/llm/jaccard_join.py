@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.arrow import Step, map_texts
-from tallyframe.llm.common import checkpointed, text_of
+from tallyframe.llm.arrow import Step, buffers, map_texts
+from tallyframe.llm.common import TEXT_HASH, checkpointed, keep_one_each, text_of, with_text_hash
 from tallyframe.llm.components import components
 from tallyframe.llm.words import mix, shingles, words
 
@@ -100,10 +100,7 @@ def _lists(values: list[np.ndarray], counts: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(batch: pa.RecordBatch, size: int):
-    column = batch.column("text").cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
-    values, counts = shingles(*words(data[offsets[0] : offsets[-1]], offsets - offsets[0]), size)
+    values, counts = shingles(*words(*buffers(batch.column("text"))), size)
     ends = np.concatenate(([0], np.cumsum(counts)))
     raw = [values[ends[i] : ends[i + 1]].tobytes() for i in range(len(counts))]
     return values, counts, raw, [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
@@ -290,3 +287,21 @@ def similar_documents(
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n_shingles") > 0, F.col("class_size")).otherwise(1).alias("class_size"),
     )
+
+
+def drop_similar(
+    docs: DataFrame, percent: int = 80, size: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of each component, with all their columns.
+
+    Of a component's rows with that id the one of the smallest text hash stays. Texts without words all stay.
+    """
+    hashed = with_text_hash(docs, text_col)
+    keyed = hashed.select(F.struct(F.col(id_col).alias("id"), TEXT_HASH).alias("doc_id"), F.col(text_col).alias("text"))
+    similar = similar_documents(keyed, percent, size)
+    decisions = similar.select(
+        F.col("doc_id.id").alias("doc_id"),
+        F.col(f"doc_id.{TEXT_HASH}").alias("text_hash"),
+        (F.col("doc_id") == F.col("component_id")).alias("kept"),
+    )
+    return keep_one_each(docs, checkpointed(decisions), id_col, text_col)

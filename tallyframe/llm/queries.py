@@ -12,6 +12,7 @@ from tallyframe.llm.exact_dedup import exact_duplicates
 from tallyframe.llm.jaccard_join import similar_documents
 from tallyframe.llm.line_dedup import repeated_lines
 from tallyframe.llm.mixing import mix
+from tallyframe.llm.quality import fit_quality, held_out, score_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +122,15 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS componen
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.a = d.doc_id
 GROUP BY d.doc_id
 """
+
+
+@_query
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    model = fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return score_quality(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
