@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.bpe import encode_documents
 from tallyframe.llm.exact_dedup import exact_duplicates
+from tallyframe.llm.fingerprint import K, as_text, distinct_shingles, resemblance, sketch, with_next, word_hashes
 from tallyframe.llm.jaccard_join import similar_documents
 from tallyframe.llm.line_dedup import repeated_lines
 from tallyframe.llm.mixing import mix
 from tallyframe.llm.quality import fit_quality, held_out, score_quality
+from tallyframe.llm.token_counts import token_counts, vocabulary_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,12 +51,48 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id
 """
 
 
+@_query
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = with_next(_documents(spark, sf)).withColumn("n_chars", F.length("text").cast("long"))
+    third = F.floor(F.col("n_chars") / 3).cast("int")
+    start = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - third)
+    edited = pairs.select(
+        "doc_id", "n_chars", "text", "next_text",
+        F.concat(start, F.substring("next_text", F.lit(1), third)).alias("edited"),
+    )
+    words = edited.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        *[word_hashes(F.col(c)).alias(c) for c in ("text", "edited", "next_text")],
+    )
+    sketches = words.select(
+        "doc_id", "n_chars", "edited_sha256",
+        *[sketch(F.col(c)).alias(c) for c in ("text", "edited", "next_text")],
+    )
+    return sketches.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        as_text(F.col("text")).alias("fingerprint"),
+        as_text(F.col("edited")).alias("edited_fingerprint"),
+        resemblance(F.col("text"), F.col("edited"), K).alias("near_edited"),
+        resemblance(F.col("text"), F.col("next_text"), K).alias("near_next"),
+        distinct_shingles(F.col("text"), K).alias("n_shingles"),
+    )
+
+
 @_query
 def op3_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mix(_documents(spark, sf))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+@_query
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(_documents(spark, sf), vocabulary_of(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 @_query
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     lines = repeated_lines(_documents(spark, sf))
