@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.bpe import encode_documents
 from tallyframe.llm.exact_dedup import exact_duplicates
 from tallyframe.llm.fingerprint import K, as_text, distinct_shingles, resemblance, sketch, with_next, word_hashes
+from tallyframe.llm.html_text import extract_pages
 from tallyframe.llm.jaccard_join import similar_documents
 from tallyframe.llm.line_dedup import repeated_lines
 from tallyframe.llm.mixing import mix
@@ -119,6 +120,12 @@ GROUP BY doc_id
 """
 
 
+@_query
+def op6_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    texts = extract_pages(spark.read.parquet(f"{sf}/pages.parquet"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
