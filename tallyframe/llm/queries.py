@@ -14,6 +14,7 @@ from tallyframe.llm.html_text import extract_pages
 from tallyframe.llm.jaccard_join import similar_documents
 from tallyframe.llm.line_dedup import repeated_lines
 from tallyframe.llm.mixing import mix
+from tallyframe.llm.pii import pseudonymised
 from tallyframe.llm.quality import fit_quality, held_out, score_quality
 from tallyframe.llm.token_counts import token_counts, vocabulary_of
 
@@ -126,6 +127,11 @@ def op6_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@_query
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonymised(_documents(spark, sf), key="not a secret: the query's own key")
+
+
 @_query
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
