@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections import OrderedDict
 
@@ -89,6 +90,37 @@ def token_bytes(tokenizer) -> list[bytes]:
     return table
 
 
+#: how byte-level BPE parts text into words; fixed value
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def rank_encoding(tokenizer, table: list[bytes]):
+    """The tokenizer as a rank encoding, which is faster; None where that might not be the same.
+
+    It is, if the tokenizer is plain byte-level BPE whose ids are in the order of its merges.
+    """
+    import tiktoken
+
+    config = json.loads(tokenizer.to_str())
+    model, before, added = config["model"], config["pre_tokenizer"] or {}, config["added_tokens"]
+    joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model.get("merges", ())]
+    plain = (
+        model["type"] == "BPE"
+        and not (config["normalizer"] or model["dropout"] or model["ignore_merges"])
+        and not (model["continuing_subword_prefix"] or model["end_of_word_suffix"])
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex")
+        and not before.get("add_prefix_space")
+        and [model["vocab"].get(t) for t in joined] == list(range(256, 256 + len(joined)))
+        and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+    )
+    if not plain:
+        return None
+    special = {t["content"]: t["id"] for t in added}
+    ranks = {table[i]: i for t, i in model["vocab"].items() if t not in special}
+    return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
+
+
 class ChunkEncoder:
     """Encodes texts to what the tokenizer gives for each as a whole."""
 
@@ -100,13 +132,21 @@ class ChunkEncoder:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self.bytes_of = token_bytes(self._tokenizer)
+        self._ranks = rank_encoding(self._tokenizer, self.bytes_of)
         self._sizes = np.array([len(b) for b in self.bytes_of], np.int64)
         self._cache: OrderedDict[bytes, tuple[np.ndarray, np.ndarray]] = OrderedDict()
         self._cache_chunks = cache_chunks
 
+    def _encode_one(self, text: str) -> np.ndarray:
+        if self._ranks is not None:
+            try:
+                return self._ranks.encode_to_numpy(text, allowed_special="all")
+            except ValueError:  # its pattern gives up on very long runs of white space
+                pass
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def _encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        texts = [p.decode("utf-8") for p in pieces]
-        return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self._encode_one(p.decode("utf-8")) for p in pieces]
 
     def _chunks(self, pieces: list[bytes]) -> dict[bytes, tuple[np.ndarray, np.ndarray]]:
         """Ids of distinct chunks and the offsets at which their tokens end; only unknown ones are encoded."""
