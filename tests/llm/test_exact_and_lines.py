@@ -1,0 +1,96 @@
+"""Exact dedup and line dedup against brute force, with odd rows."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from tallyframe.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
+from tallyframe.llm.line_dedup import repeated_lines
+
+SPACE = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+ROWS = [
+    (1, "a b\tc"), (2, "abc"), (3, " a  b c "), (4, None), (5, ""), (6, "\n \r"), (7, "É b"), (8, "é b"),
+    (9, "a bc"), (None, "abc        "), (10, "x" * 300_000), (11, "x " * 150_000 + "x" * 150_000), (12, "A bc"),
+]
+SCHEMA = "doc_id long, text string"
+
+
+def frame(spark, rows, schema=SCHEMA, parts=5):
+    return spark.createDataFrame(rows, schema).repartition(parts)
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+@pytest.mark.parametrize("fan_in", [2, 3, 16])
+def test_exact_groups(spark, fan_in):
+    got = exact_duplicates(frame(spark, ROWS), fan_in=fan_in).collect()
+    groups = defaultdict(list)
+    for i, t in ROWS:
+        groups[norm(t)].append((-len(t or ""), i is None, i))
+    expected = Counter()
+    for i, t in ROWS:
+        best = min(groups[norm(t)])[2]
+        digest = hashlib.sha256(norm(t).encode()).hexdigest()
+        expected[i, best, len(groups[norm(t)]), i == best, digest] += 1
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == expected
+
+
+def test_exact_repeated_rows_keep_one(spark):
+    rows = [(1, "a"), (1, "a"), (1, "a"), (2, "a "), (2, "a "), (3, "b"), (3, "c")]
+    got = exact_duplicates(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got if r.kept) == [(2, 2, 5), (3, 3, 1), (3, 3, 1)]
+    kept = drop_exact_duplicates(frame(spark, rows))
+    assert sorted(map(tuple, kept.collect())) == [(2, "a "), (3, "b"), (3, "c")]
+
+
+def test_exact_keeps_columns_with_clashing_names(spark):
+    rows = [(1, "a", "x", 5), (2, "a", "y", 6), (None, "zz", None, None), (4, None, "w", 1)]
+    docs = frame(spark, rows, "doc_id long, text string, digest string, run int")
+    kept = drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[2], rows[3]], key=repr)
+
+
+def test_empty_tables(spark):
+    docs = frame(spark, [])
+    assert exact_duplicates(docs).collect() == []
+    assert drop_exact_duplicates(docs).collect() == []
+    assert repeated_lines(docs).collect() == []
+
+
+def brute_lines(rows, threshold):
+    keys = lambda line: line.strip(SPACE).translate(LOWER)
+    counts = Counter(k for _, t in rows for k in {keys(x) for x in (t or "").split("\n")} if k)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if counts[keys(x)] < threshold]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def test_lines(spark):
+    rows = [(i, f"  Same LINE {'É' if i % 2 else 'é'}\nown {i}\n\n{'twice' if i < 3 else ''}\nSHARED\t\nshared") for i in range(12)]
+    rows += [(20, None), (21, ""), (22, "\n"), (23, "shared"), (None, "shared\nx"), (25, "l\n" * 40_000 + "shared")]
+    for threshold in (2, 5, 12):
+        got = [tuple(r) for r in repeated_lines(frame(spark, rows), threshold=threshold).collect()]
+        assert sorted(got, key=repr) == sorted(brute_lines(rows, threshold), key=repr)
+
+
+def test_lines_of_repeated_rows_and_other_columns(spark):
+    rows = [(1, "a\nb", 1), (1, "a\nb", 2), (1, "b\na", 3), (2, "a", 4)]
+    docs = frame(spark, rows, "doc_id long, text string, pos int")
+    got = [tuple(r) for r in repeated_lines(docs, threshold=4).collect()]
+    assert sorted(got) == sorted(brute_lines([r[:2] for r in rows], 4))
+
+
+def test_native_plans(spark):
+    from tests.conftest import plan
+
+    for df in (exact_duplicates(frame(spark, ROWS)), repeated_lines(frame(spark, ROWS))):
+        assert "Python" not in plan(df) and "Arrow" not in plan(df)
