@@ -152,6 +152,9 @@ def main_text(html: str) -> str:
     are content; their short lines come with them. On a page with an article or main element only regions inside it
     count. Lists of links need the threshold themselves.
     """
+    cut = html.rfind("<")
+    if cut > html.rfind(">") and re.match(r"[A-Za-z/!?]", html[cut + 1 : cut + 2]):
+        html = html[:cut]  # a tag that the end of the page cuts off
     reader = LineReader()
     reader.feed(html)
     reader.close()
