@@ -28,13 +28,22 @@ def codes_cte(columns: Iterable[str] | None = None) -> str:
     return f"codes(col, code, label) AS (VALUES {', '.join(rows)})"
 
 
-def label(column: str, raw: str) -> str:
-    """Scalar lookup of the label; unknown codes pass through, for sex they become Total."""
-    other = "'Total'" if column == "sex" else raw
+def label(column: str, raw: str, default: str | None = None) -> str:
+    """Scalar lookup of the label; unknown codes pass through, for sex they become Total, or all become ``default``."""
+    other = _quote(default) if default is not None else "'Total'" if column == "sex" else raw
     return f"coalesce((SELECT k.label FROM codes k WHERE k.col = '{column}' AND k.code = {raw}), {other})"
 
 
-VIEWS: dict[str, str] = {
+_label = label
+
+
+def views(default: str | None = None) -> dict[str, str]:
+    """The five views as SQL."""
+
+    def label(column: str, raw: str) -> str:
+        return _label(column, raw, default)
+
+    return {
     "v_pupil": f"""
 SELECT pupil_id, school_id, acad_year_code AS time_period, 'Academic year' AS time_identifier,
   {label('establishment_type_group', 'estab_type_group')} AS establishment_type_group,
@@ -68,16 +77,16 @@ SELECT la_new AS new_la_code, la_old AS old_la_code, la_name_full AS la_name, go
   gor_name AS region_name, country_cd AS country_code, country_nm AS country_name,
   {label('geographic_level', 'geographic_lvl')} AS geographic_level
 FROM geography""",
-}
+    }
 
 
-def with_views(*views: str, body: str, extra: str = "") -> str:
+def with_views(*names: str, body: str, extra: str = "", default: str | None = None) -> str:
     """``body`` below the fixture tables and views it needs."""
-    parts = [codes_cte()] if views else []
-    for view in views:
+    parts, defined = [codes_cte()] if names else [], views(default)
+    for view in names:
         name = view.removeprefix("v_")
         parts.append(f"{name} AS ({FIXTURE[name]})")
-        parts.append(f"{view} AS ({VIEWS[view]})")
+        parts.append(f"{view} AS ({defined[view]})")
     if extra:
         parts.append(extra)
     return "WITH " + ",\n".join(parts) + "\n" + body
@@ -89,7 +98,6 @@ def with_tables(*names: str, body: str) -> str:
 
 # --- reports ------------------------------------------------------------------
 
-P = ("establishment_type_group", "sex", "ethnicity_major", "ethnicity_minor", "first_language")
 NATIONAL_PUPIL = [
     "p.time_period", "p.time_identifier", "g.geographic_level", "g.country_code", "g.country_name",
     "p.establishment_type_group", "p.sex", "c.disadvantage_status", "p.ethnicity_major", "p.ethnicity_minor",
@@ -100,7 +108,7 @@ REGIONAL_PUPIL = [
     *NATIONAL_PUPIL[5:12], "p.sen_provision",
 ]
 SCHOOL = [
-    "r.time_period", "s.country_code", "s.country_name", "s.establishment_type_group", "s.education_phase",
+    "p.time_period", "s.country_code", "s.country_name", "s.establishment_type_group", "s.education_phase",
     "s.school_religious_character", "s.sex",
 ]
 SCHOOL_LITERALS = "'Academic year' AS time_identifier, 'National' AS geographic_level"
@@ -116,7 +124,7 @@ def pct(part: str, whole: str) -> str:
     return f"round({part} / nullif({whole}, 0) * 100, 0)"
 
 
-def _common(completion_percents: bool = True) -> list[str]:
+def _common() -> list[str]:
     return [
         "count(DISTINCT p.school_id) AS establishment_count",
         "count(p.pupil_id) AS eligible_pupil_count",
@@ -145,9 +153,11 @@ def scores() -> str:
     return ",\n  ".join(items)
 
 
-def pupil_report(metrics: str, dims: list[str], levels: str, where: str = "", how: str = "JOIN") -> str:
+def pupil_report(
+    metrics: str, dims: list[str], levels: str, where: str = "", how: str = "JOIN", default: str | None = None
+) -> str:
     return with_views(
-        "v_pupil", "v_results", "v_claimcare", "v_geography",
+        "v_pupil", "v_results", "v_claimcare", "v_geography", default=default,
         body=f"""SELECT {', '.join(dims)},
   {metrics}
 FROM v_pupil p
@@ -159,14 +169,14 @@ GROUP BY {', '.join(dims)}""",
     )
 
 
-def school_report(metrics: str, where: str = "") -> str:
+def school_report(metrics: str, where: str = "", how: str = "JOIN", default: str | None = None) -> str:
     return with_views(
-        "v_pupil", "v_results", "v_school",
+        "v_pupil", "v_results", "v_school", default=default,
         body=f"""SELECT {', '.join(SCHOOL)}, {SCHOOL_LITERALS},
   {metrics}
 FROM v_pupil p
-JOIN v_results r ON r.pupil_id = p.pupil_id AND r.time_period = p.time_period
-JOIN v_school s ON s.school_id = p.school_id
+{how} v_results r ON r.pupil_id = p.pupil_id AND r.time_period = p.time_period
+{how} v_school s ON s.school_id = p.school_id
 {where}
 GROUP BY {', '.join(SCHOOL)}""",
     )

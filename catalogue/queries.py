@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -12,6 +13,7 @@ from catalogue import oracle
 from catalogue.fixture import YEARS, bronze, derived, table
 from tallyframe.functions.codes import STANDARD_CODES
 from tallyframe.functions.decode import (
+    Labels,
     canonical_columns,
     decode,
     decode_columns,
@@ -37,10 +39,15 @@ from tallyframe.operators.periods import (
     union_periods,
 )
 from tallyframe.operators.shape import rename, round_columns, select_fixed, with_constants, with_time
-from tallyframe.plans.reports import REPORTS, build_report, scored_pupils
-from tallyframe.plans.silver import silver
+from tallyframe.plans.reports import REGIONAL_AND_LA, REPORTS, area_rows, build_report, scored_pupils
+from tallyframe.plans.run import all_reports
+from tallyframe.plans.silver import register_views, renamed, silver
 from tallyframe.plans.spec import ReportSpec, mapped_columns, profile
-from tallyframe.sources.keyed import absent_rows, pack_snapshot, unpack_snapshot
+from tallyframe.sources.bronze import read_table, write_bronze_parquet, write_bronze_tables
+from tallyframe.sources.keyed import absent_rows, insert_if_absent, read_snapshot, write_snapshot
+from tallyframe.sources.schemas import BRONZE
+from tallyframe.sources.sinks import write_csv, write_table
+from tallyframe.sources.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +88,37 @@ register(
     oracle.pupil_report(oracle.characteristics(), oracle.NATIONAL_PUPIL, "'National'", how="LEFT JOIN"),
 )
 
+for _name, _sql in {
+    "regional_la_pupil": oracle.pupil_report(
+        oracle.characteristics(), oracle.REGIONAL_PUPIL, "'Regional', 'Local authority'", how="LEFT JOIN"
+    ),
+    "national_school": oracle.school_report(oracle.characteristics(), how="LEFT JOIN"),
+    "national_school_scores": oracle.school_report(oracle.scores(), how="LEFT JOIN"),
+    "national_pupil_scores": oracle.pupil_report(oracle.scores(), oracle.NATIONAL_PUPIL, "'National'", how="LEFT JOIN"),
+    "regional_la_pupil_scores": oracle.pupil_report(
+        oracle.scores(), oracle.REGIONAL_PUPIL, "'Regional', 'Local authority'", how="LEFT JOIN"
+    ),
+    "national_cumulative": ORACLES["report_national_cumulative"],  # without a result nobody has completed
+}.items():
+    register(f"report_left_{_name}", lambda spark, sf, r=_name: build_report(r, bronze(spark, sf), how="left"), _sql)
+
+for _name, _sql in {
+    "national_pupil": oracle.pupil_report(oracle.characteristics(), oracle.NATIONAL_PUPIL, "'National'", default="Total"),
+    "national_school": oracle.school_report(oracle.characteristics(), default="Total"),
+}.items():
+    register(
+        f"report_default_total_{_name}",
+        lambda spark, sf, r=_name: build_report(r, bronze(spark, sf), default="Total"),
+        _sql,
+    )
+
+for _name in REPORTS:
+    register(
+        f"shared_report_{_name}",
+        lambda spark, sf, r=_name: all_reports(spark, bronze(spark, sf))[r],
+        ORACLES[f"report_{_name}"],
+    )
+
 register(
     "report_cumulative_keeping_null_groups",
     lambda spark, sf: build_report("national_cumulative", bronze(spark, sf), drop_null_groups=False),
@@ -138,6 +176,28 @@ register(
     ),
 )
 
+register(
+    "dimension_filter_phase",
+    lambda spark, sf: build_report(
+        "national_school", bronze(spark, sf), filters={"education_phase": "Primary", "sex": "Boys"}
+    ),
+    oracle.school_report(oracle.characteristics(), "WHERE s.education_phase = 'Primary' AND s.sex = 'Boys'"),
+)
+
+register(
+    "dimension_filter_left",
+    lambda spark, sf: build_report(
+        "national_pupil", bronze(spark, sf), how="left", filters={"sex": "Girls", "disadvantage_status": "Disadvantaged"}
+    ),
+    oracle.pupil_report(
+        oracle.characteristics(),
+        oracle.NATIONAL_PUPIL,
+        "'National'",
+        "AND p.sex = 'Girls' AND c.disadvantage_status = 'Disadvantaged'",
+        how="LEFT JOIN",
+    ),
+)
+
 _COMPARED = ("eligible_pupil_count", "completed_check_pupil_count", "mtc_score_average")
 _SCHOOL_REPORT_DIMS = REPORTS["national_school"].dims
 register(
@@ -316,14 +376,17 @@ register(
     ),
 )
 
+_LEVEL_DIMS = ("geographic_level", "region_name", "la_name")
 register(
     "level_filter_bridge",
-    lambda spark, sf: silver("pupil", derived(spark, sf, "pupil"))
-    .select("pupil_id", "new_la_code")
-    .join(silver("geography", derived(spark, sf, "geography")), "new_la_code")
-    .filter(F.col("geographic_level").isin("Regional", "Local authority"))
-    .groupBy("geographic_level", "region_name", "la_name")
-    .agg(F.count("pupil_id").alias("pupil_rows")),
+    lambda spark, sf: frequencies(
+        renamed("pupil", derived(spark, sf, "pupil"), "pupil_id", "new_la_code"), ["new_la_code"], "pupil_rows", "pupil_id"
+    )
+    .join(
+        area_rows(derived(spark, sf, "geography"), REGIONAL_AND_LA, Labels(), "new_la_code", *_LEVEL_DIMS), "new_la_code"
+    )
+    .groupBy(*_LEVEL_DIMS)
+    .agg(*summed(["pupil_rows"])),
     oracle.with_views(
         "v_pupil", "v_geography",
         body="""SELECT g.geographic_level, g.region_name, g.la_name, count(p.pupil_id) AS pupil_rows
@@ -613,16 +676,102 @@ register(
 # --- stored results -----------------------------------------------------------
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{staging_root(spark)}/rows-{name}-{uuid.uuid4().hex}"
+
+
 def _snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    pupils = derived(spark, sf, "pupil").drop("load_date")
-    packed = pack_snapshot(pupils, "PUPILS_V1", datetime(2025, 1, 1))
-    return unpack_snapshot(packed, pupils.schema)
+    stamped = F.expr("timestamp_micros(cast(pupil_id AS bigint) * 86400123457)")
+    pupils = derived(spark, sf, "pupil").withColumn("stamped", stamped)
+    path, taken_at = _folder(spark, "snapshot"), datetime(2025, 1, 1)
+    write_snapshot(pupils.limit(0), path, "PUPILS_V1", datetime(2024, 1, 1))
+    write_snapshot(pupils, path, "PUPILS_V1", taken_at)
+    back = read_snapshot(spark, path, "PUPILS_V1", pupils.schema)
+    return back.withColumns(
+        {"load_date": F.col("load_date").cast("string"), "stamped": F.unix_micros("stamped")}
+    )
 
 
 register(
     "snapshot_roundtrip",
     _snapshot_roundtrip,
-    oracle.with_tables("pupil", body="SELECT * EXCLUDE (load_date) FROM pupil"),
+    oracle.with_tables(
+        "pupil",
+        body="SELECT * EXCLUDE (load_date), CAST(load_date AS VARCHAR) AS load_date, "
+        "CAST(pupil_id AS BIGINT) * 86400123457 AS stamped FROM pupil",
+    ),
+)
+
+
+def _declared(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    root = _folder(spark, "bronze")
+    write_bronze_parquet({name: derived(spark, sf, name)}, root)
+    stored = spark.read.schema(BRONZE[name]).parquet(f"{root}/{name}")
+    return stored.withColumn("load_date", F.col("load_date").cast("string"))
+
+
+for _name in BRONZE:
+    register(
+        f"declared_table_{_name}",
+        lambda spark, sf, t=_name: _declared(spark, sf, t),
+        oracle.with_tables(
+            _name, body=f"SELECT * EXCLUDE (load_date), CAST(load_date AS VARCHAR) AS load_date FROM {_name}"
+        ),
+    )
+
+
+def _catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    schema = f"rows_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema}")
+    write_bronze_tables({"results": derived(spark, sf, "results")}, schema, buckets=4)
+    stored = read_table(spark, "results", schema)
+    return stored.select("pupil_id", "school_id", "acad_year_code", "pupil_mark", "completion_status")
+
+
+register(
+    "catalog_table_roundtrip",
+    _catalog_roundtrip,
+    oracle.with_tables(
+        "results", body="SELECT pupil_id, school_id, acad_year_code, pupil_mark, completion_status FROM results"
+    ),
+)
+
+
+def _gold_table(spark: SparkSession, sf: str) -> DataFrame:
+    schema = f"rows_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema}")
+    write_table(build_report("national_school", bronze(spark, sf)), "gold", schema)
+    return read_table(spark, "gold", schema)
+
+
+register("gold_table_roundtrip", _gold_table, ORACLES["report_national_school"])
+
+
+def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    report, path = REPORTS["national_cumulative"], _folder(spark, "csv")
+    write_csv(build_report("national_cumulative", bronze(spark, sf)), path, 3, report.sort_keys())
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
+register("csv_roundtrip", _csv_roundtrip, ORACLES["report_national_cumulative"])
+
+
+def _views_from_sql(spark: SparkSession, sf: str) -> DataFrame:
+    register_views(bronze(spark, sf))
+    return spark.sql(
+        "SELECT p.sex, s.education_phase, count(*) AS pupils, sum(r.mtc_score) AS marks FROM v_pupil p "
+        "JOIN v_results r USING (pupil_id, time_period) JOIN v_school s ON s.school_id = p.school_id GROUP BY ALL"
+    )
+
+
+register(
+    "views_from_sql",
+    _views_from_sql,
+    oracle.with_views(
+        "v_pupil", "v_results", "v_school",
+        body="SELECT p.sex, s.education_phase, count(*) AS pupils, CAST(sum(r.mtc_score) AS BIGINT) AS marks FROM v_pupil p "
+        "JOIN v_results r USING (pupil_id, time_period) JOIN v_school s ON s.school_id = p.school_id GROUP BY ALL",
+    ),
 )
 
 
@@ -647,3 +796,27 @@ WHERE NOT EXISTS (SELECT 1 FROM results r WHERE r.pupil_id = n.pupil_id AND r.ac
 GROUP BY ALL""",
     ),
 )
+
+
+def _insert_if_absent_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ["completion_status", "pupil_mark"]
+    results = derived(spark, sf, "results")
+    existing = results.filter("pupil_mark < 20 OR pupil_mark IS NULL AND completion_status = 'A'").select(*keys)
+    new = results.select(*keys, "pupil_id")
+    path = _folder(spark, "absent")
+    for _ in range(2):
+        insert_if_absent(spark, path, absent_rows(existing, new, keys), keys)
+    return spark.read.parquet(path)
+
+
+register(
+    "insert_if_absent_null_keys",
+    _insert_if_absent_null_keys,
+    oracle.with_tables(
+        "results",
+        body="""SELECT completion_status, pupil_mark, min(pupil_id) AS pupil_id FROM results n
+WHERE NOT EXISTS (SELECT 1 FROM results r WHERE (r.pupil_mark < 20 OR r.pupil_mark IS NULL AND r.completion_status = 'A')
+  AND r.completion_status IS NOT DISTINCT FROM n.completion_status AND r.pupil_mark IS NOT DISTINCT FROM n.pupil_mark)
+GROUP BY ALL""",
+    ),
+)

@@ -7,6 +7,7 @@ label filter reaches the Parquet scan as a filter on the raw code.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,6 +117,29 @@ def canonical_columns(
     return df.withColumns({c: canonical_code(c, codes[c], _policy(c, defaults)) for c in present})
 
 
+@dataclass(frozen=True)
+class Labels:
+    """Code tables with what unknown codes and NULL become: by column (``defaults``), or one label for all."""
+
+    codes: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: STANDARD_CODES)
+    defaults: Mapping[str, str] = field(default_factory=lambda: DEFAULT_LABELS)
+    default: str | None = None
+
+    def policy(self, column: str):
+        return _policy(column, self.defaults) if self.default is None else self.default
+
+    def decode(self, df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+        return decode_columns(df, columns, self.codes, self.defaults, self.default)
+
+    def canonical(self, df: DataFrame, columns: Iterable[str]) -> DataFrame:
+        present = [c for c in columns if c in self.codes and c in df.columns]
+        return df.withColumns({c: canonical_code(c, self.codes[c], self.policy(c)) for c in present})
+
+    def predicate(self, raw: str, column: str, labels: str | Iterable[str]) -> Column:
+        """``column`` decoded from ``raw`` has one of the labels, on the raw code."""
+        return label_predicate(raw, labels, self.codes[column], self.policy(column))
+
+
 def decode_with_lookup(
     df: DataFrame, column: str, lookup: DataFrame, default=PASSTHROUGH, output: str | None = None
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
@@ -11,6 +12,20 @@ from pyspark.sql import functions as F
 from tallyframe.functions.metrics import percent
 
 
+def as_periods(periods: str | Iterable[str] | None) -> list[str] | None:
+    """One period or several as a sorted list of distinct six-digit codes; None stays None.
+
+    Anything else is an error: a mistyped period would otherwise give an empty report.
+    """
+    if periods is None:
+        return None
+    found = sorted({periods} if isinstance(periods, str) else set(periods))
+    wrong = [p for p in found if not (isinstance(p, str) and re.fullmatch(r"[0-9]{6}", p))]
+    if wrong:
+        raise ValueError(f"periods are six digits, not {wrong}")
+    return found
+
+
 def only_periods(df: DataFrame, periods: str | Iterable[str] | None, column: str = "time_period") -> DataFrame:
     """Rows of the given periods; all rows for None. Prunes partitions when ``column`` partitions the data."""
     if periods is None:
@@ -57,11 +72,14 @@ def compare_periods(
 ) -> DataFrame:
     """Measures of two periods side by side, with change and percent change.
 
-    Expects one row per (period, dims), as a report gives. One grouping instead of a self-join: a single
-    exchange, NULL dims compare equal, and groups present in only one period are kept with NULLs.
+    Expects one row per (period, dims), as a report gives, and fails where there are more. One grouping
+    instead of a self-join: a single exchange, NULL dims compare equal, and groups present in only one period are
+    kept with NULLs.
     """
     def of(period: str, m: str):
-        return F.max(F.when(F.col(column) == period, F.col(m)))
+        value = F.max(F.when(F.col(column) == period, F.col(m)))
+        more = F.raise_error(F.lit(f"more than one row of period {period} for the same {list(dims)}"))
+        return F.when(F.count_if(F.col(column) == period) <= 1, value).otherwise(more.cast(df.schema[m].dataType))
 
     sides = [c for m in measures for c in (of(before, m).alias(f"{m}_before"), of(after, m).alias(f"{m}_after"))]
     paired = only_periods(df, [before, after], column).groupBy(*dims).agg(*sides)

@@ -20,13 +20,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.codes import DEFAULT_LABELS, STANDARD_CODES
 from tallyframe.functions.columns import SOURCES
-from tallyframe.functions.decode import PASSTHROUGH, canonical_columns, decode_columns, label_predicate
+from tallyframe.functions.decode import Labels
 from tallyframe.functions.metrics import (
     average,
     differs_or_null,
@@ -172,8 +172,12 @@ def scored_pupils(bronze: Bronze, *columns: str, how: str = "inner") -> DataFram
 
 def claimed_pupils(bronze: Bronze, *columns: str, how: str = "inner") -> DataFrame:
     """Pupils with their result and their claim record of the same year."""
+    return with_claims(scored_pupils(bronze, *columns, how=how), bronze, how)
+
+
+def with_claims(rows: DataFrame, bronze: Bronze, how: str = "inner") -> DataFrame:
     claims = renamed("claimcare", bronze.claimcare, *FACT_KEY, "disadvantage_status", "fsm_status")
-    return scored_pupils(bronze, *columns, how=how).join(claims, list(FACT_KEY), how)
+    return rows.join(claims, list(FACT_KEY), how)
 
 
 CLAIMED_COLUMNS = (
@@ -183,27 +187,27 @@ CLAIMED_COLUMNS = (
 SCORED_COLUMNS = ("school_id", "new_la_code", "establishment_type_group", "sex")
 
 
-def _areas(geography: DataFrame, levels: Iterable[str], codes, *columns: str) -> DataFrame:
+def area_rows(geography: DataFrame, levels: Iterable[str], labels: Labels, *columns: str) -> DataFrame:
     """``columns`` of the geography rows of given levels. The level is tested on its raw code, in the scan."""
-    level = label_predicate("geographic_lvl", levels, codes["geographic_level"])
-    return decode_columns(renamed("geography", geography.filter(level), *columns), codes=codes)
+    level = labels.predicate("geographic_lvl", "geographic_level", levels)
+    return labels.decode(renamed("geography", geography.filter(level), *columns))
 
 
 # --- families -----------------------------------------------------------------
 
 
-def national_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFrame:
+def national_pupil_family(facts: DataFrame, bronze: Bronze, labels: Labels, how: str) -> DataFrame:
     """By country and pupil characteristics. Authorities are dropped from the groups, so it joins first."""
     dims = NATIONAL_PUPIL_DIMS
-    areas = _areas(bronze.geography, NATIONAL, codes, "new_la_code", *COUNTRY_DIMS)
-    rows = canonical_columns(facts, dims, codes).join(areas, "new_la_code")
+    areas = area_rows(bronze.geography, NATIONAL, labels, "new_la_code", *COUNTRY_DIMS)
+    rows = labels.canonical(facts, dims).join(areas, "new_la_code")
     grouped = rows.groupBy("time_period", *COUNTRY_DIMS, *dims).agg(
         F.countDistinct("school_id").alias(ESTABLISHMENTS), *pupil_measures()
     )
-    return decode_columns(grouped, dims, codes)
+    return labels.decode(grouped, dims)
 
 
-def regional_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFrame:
+def regional_pupil_family(facts: DataFrame, bronze: Bronze, labels: Labels, how: str) -> DataFrame:
     """By authority and pupil characteristics, repeated for each geographic level.
 
     An authority's groups are the same at every level, so they are made once and joined to its area rows
@@ -212,19 +216,19 @@ def regional_pupil_family(facts: DataFrame, bronze: Bronze, codes, how: str) ->
     """
     dims = REGIONAL_PUPIL_DIMS
     area_keys = (*COUNTRY_DIMS, *AREA_DIMS)
-    areas = frequencies(_areas(bronze.geography, REGIONAL_AND_LA, codes, *area_keys), area_keys, "__copies")
+    areas = frequencies(area_rows(bronze.geography, REGIONAL_AND_LA, labels, *area_keys), area_keys, "__copies")
     grouped = (
-        canonical_columns(facts, dims, codes)
+        labels.canonical(facts, dims)
         .groupBy("time_period", "new_la_code", *dims)
         .agg(F.countDistinct("school_id").alias(ESTABLISHMENTS), *pupil_measures())
     )
     placed = grouped.join(areas, "new_la_code").withColumns(
         {name: F.expr(f"{name} * __copies") for name in ADDITIVE}
     )
-    return decode_columns(placed.drop("__copies"), dims, codes)
+    return labels.decode(placed.drop("__copies"), dims)
 
 
-def school_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFrame:
+def school_family(facts: DataFrame, bronze: Bronze, labels: Labels, how: str) -> DataFrame:
     """By characteristics of the school: facts are summed per school, then schools are grouped.
 
     A school meets each of its distinct descriptions once, so establishments are counted without DISTINCT
@@ -233,7 +237,7 @@ def school_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFram
     per_school = facts.groupBy("time_period", "school_id").agg(*pupil_measures())
     columns = ("school_id", "country_code", "country_name", *SCHOOL_DIMS)
     schools = frequencies(
-        decode_columns(renamed("school", bronze.school, *columns), codes=codes), columns, "__copies"
+        labels.decode(renamed("school", bronze.school, *columns)), columns, "__copies"
     )
     return with_constants(
         per_school.join(schools, "school_id", how)
@@ -247,23 +251,23 @@ def school_family(facts: DataFrame, bronze: Bronze, codes, how: str) -> DataFram
 
 
 def cumulative_family(
-    facts: DataFrame, bronze: Bronze, codes, how: str, drop_null_groups: bool = True
+    facts: DataFrame, bronze: Bronze, labels: Labels, how: str, drop_null_groups: bool = True
 ) -> DataFrame:
     """Score frequencies of completed checks with running counts from the top score down."""
     dims = ("establishment_type_group", "sex")
     completed = facts.filter(F.col("completion_status") == COMPLETED)
     per_area = frequencies(
-        canonical_columns(completed, dims, codes), ["time_period", "new_la_code", *dims, "mtc_score"],
+        labels.canonical(completed, dims), ["time_period", "new_la_code", *dims, "mtc_score"],
         "pupil_count", of="pupil_id",
     )
-    areas = _areas(bronze.geography, NATIONAL, codes, "new_la_code", "country_code", "country_name")
+    areas = area_rows(bronze.geography, NATIONAL, labels, "new_la_code", "country_code", "country_name")
     groups = ["time_period", "country_code", "country_name", *dims]
     counts = per_area.join(areas, "new_la_code").groupBy(*groups, "mtc_score").agg(*summed(["pupil_count"]))
     running = cumulative(
         counts, groups, "mtc_score", "pupil_count", "cumulative_pupil_count", "cumulative_pupil_percent",
         drop_null_groups=drop_null_groups,
     )
-    return with_constants(decode_columns(running, dims, codes), geographic_level="National")
+    return with_constants(labels.decode(running, dims), geographic_level="National")
 
 
 @dataclass(frozen=True)
@@ -278,7 +282,7 @@ class Family:
     def wide(
         self,
         bronze: Bronze,
-        codes: Mapping[str, Mapping[str, str]] = STANDARD_CODES,
+        labels: Labels = Labels(),
         how: str = "inner",
         facts: DataFrame | None = None,
         **options,
@@ -286,7 +290,7 @@ class Family:
         """The family's aggregate with all measures; ``facts`` replaces the fact join by its stored rows."""
         if facts is None:
             facts = self.facts(bronze, *self.fact_columns, how=how)
-        wide = self.build(facts, bronze, codes, how, **options)
+        wide = self.build(facts, bronze, labels, how, **options)
         wide = with_constants(wide, time_identifier=TIME_IDENTIFIER)
         return with_ratios(wide) if self.ratios else wide
 
@@ -325,8 +329,11 @@ class Report:
     def project(self, wide: DataFrame) -> DataFrame:
         return select_fixed(wide, self.schema)
 
+    def sort_keys(self) -> list[Column]:
+        return [*[F.col(c).asc() for c in self.order], *[F.col(c).desc() for c in self.descending]]
+
     def ordered(self, df: DataFrame) -> DataFrame:
-        return df.orderBy(*self.order, *[F.col(c).desc() for c in self.descending])
+        return df.orderBy(*self.sort_keys())
 
 
 _NATIONAL_PUPIL = (*COUNTRY_DIMS, *NATIONAL_PUPIL_DIMS)
@@ -359,10 +366,18 @@ _DIM_SOURCES = {
 _AREA_SIDE = {*COUNTRY_DIMS, *AREA_DIMS}
 
 
-def _filter_sources(
-    bronze: Bronze, family: str, filters: Mapping[str, str], codes: Mapping[str, Mapping[str, str]]
-) -> Bronze:
-    """Apply ``dim = label`` filters to the raw tables that the dims come from, as filters on raw codes."""
+#: Raw key of the pupil table for each reference table that is joined to it.
+_PUPIL_KEYS = {"geography": ("la_code_new", "la_new"), "school": ("school_id", "school_id")}
+
+
+def _filter_sources(bronze: Bronze, family: str, filters: Mapping[str, str], labels: Labels, how: str) -> Bronze:
+    """Apply ``dim = label`` filters to the raw tables that the dims come from, as filters on raw codes.
+
+    Where a reference table is filtered, pupils without a match in it cannot reach the report either, so the
+    pupil table is semi-joined with the keys that are left: other regions' pupils are gone before the facts
+    are joined and grouped. With left joins only pupil and geography rows can be filtered early, as these are
+    never replaced by NULLs.
+    """
     for dim, label in filters.items():
         if dim == "time_period":
             bronze = bronze.for_periods(label)
@@ -375,12 +390,20 @@ def _filter_sources(
             df = getattr(bronze, table)
             if raw not in df.columns:
                 continue
-            if dim in codes:
-                hit = label_predicate(raw, label, codes[dim], DEFAULT_LABELS.get(dim, PASSTHROUGH))
-            else:
-                hit = F.col(raw) == label
-            bronze = bronze.with_tables(**{table: df.filter(hit)})
+            if how == "inner" or table in ("pupil", "geography"):
+                hit = labels.predicate(raw, dim, label) if dim in labels.codes else F.col(raw) == label
+                bronze = bronze.with_tables(**{table: df.filter(hit)})
             break
+    for table, (key, other) in _PUPIL_KEYS.items():
+        filtered = any(dim in filters for dim in (_AREA_SIDE if table == "geography" else SCHOOL_DIMS))
+        if not filtered or table not in _DIM_SOURCES[family] or how != "inner" and table == "school":
+            continue
+        keys = getattr(bronze, table)
+        if table == "geography":
+            levels = REGIONAL_AND_LA if family == "regional_pupil" else NATIONAL
+            keys = keys.filter(labels.predicate("geographic_lvl", "geographic_level", levels))
+        keys = keys.select(F.col(other).alias(key)).distinct()
+        bronze = bronze.with_tables(pupil=bronze.pupil.join(keys, key, "left_semi"))
     return bronze
 
 
@@ -392,24 +415,26 @@ def build_report(
     how: str = "inner",
     ordered: bool = False,
     codes: Mapping[str, Mapping[str, str]] = STANDARD_CODES,
+    defaults: Mapping[str, str] = DEFAULT_LABELS,
+    default: str | None = None,
     **options,
 ) -> DataFrame:
     """One report as a lazy DataFrame with its fixed schema.
 
     ``periods`` restricts the years (all by default) as a partition filter on every fact table.
-    ``filters`` keeps the rows with the given labels (``{"sex": "Girls"}``); with inner joins the labels
-    are turned into filters on raw codes below the joins. ``how="left"`` keeps pupils without a result or
-    claim record. ``ordered`` sorts the rows, which costs a range shuffle.
+    ``filters`` keeps the rows with the given labels (``{"sex": "Girls"}``); the labels are turned into filters on
+    raw codes below the joins, as far as the join type allows. ``how="left"`` keeps pupils without a result or
+    claim record. ``defaults`` has the label of unknown codes by column, ``default`` one for all columns.
+    ``ordered`` sorts the rows, which costs a range shuffle.
     """
     report = REPORTS[name]
     filters = dict(filters or {})
     unknown = set(filters) - {*TIME_DIMS, *report.dims}
     if unknown:
         raise ValueError(f"report {name} has no dimension {sorted(unknown)}")
-    bronze = bronze.for_periods(periods)
-    if how == "inner":
-        bronze = _filter_sources(bronze, report.family, filters, codes)
-    wide = FAMILIES[report.family].wide(bronze, codes, how, **options)
+    labels = Labels(codes, defaults, default)
+    bronze = _filter_sources(bronze.for_periods(periods), report.family, filters, labels, how)
+    wide = FAMILIES[report.family].wide(bronze, labels, how, **options)
     result = report.project(wide)
     # every dim is a group key, so the same filter holds on the finished rows
     result = result.filter(all_of(F.col(dim) == label for dim, label in filters.items())) if filters else result

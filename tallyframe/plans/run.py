@@ -7,8 +7,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.codes import STANDARD_CODES
-from tallyframe.operators.periods import distinct_periods
+from tallyframe.functions.codes import DEFAULT_LABELS, STANDARD_CODES
+from tallyframe.functions.decode import Labels
+from tallyframe.operators.periods import as_periods, distinct_periods
 from tallyframe.plans.reports import (
     CLAIMED_COLUMNS,
     FAMILIES,
@@ -17,6 +18,7 @@ from tallyframe.plans.reports import (
     SCORED_COLUMNS,
     claimed_pupils,
     scored_pupils,
+    with_claims,
 )
 from tallyframe.plans.silver import renamed
 from tallyframe.sources.bronze import Bronze
@@ -27,33 +29,32 @@ from tallyframe.sources.staging import Stage, run_together
 def staged_families(
     spark: SparkSession,
     bronze: Bronze,
-    periods: Iterable[str] | None = None,
+    periods: str | Iterable[str] | None = None,
     how: str = "inner",
     codes: Mapping[str, Mapping[str, str]] = STANDARD_CODES,
+    defaults: Mapping[str, str] = DEFAULT_LABELS,
+    default: str | None = None,
     stage: Stage | None = None,
 ) -> dict[str, DataFrame]:
     """The four wide aggregates behind the seven reports, each computed once and staged as a table.
 
-    The fact joins are the expensive part, so each is done once for all the families that read it:
-    (pupil, result, claim) rows for the two pupil families, (pupil, result) rows for the other two. Both
-    are staged as narrow rows of raw codes; the families then read only the columns they need.
+    The fact joins are the expensive part, so each is done once for all the families that read it: pupils are
+    joined with results and staged as narrow rows of raw codes, and these rows with claims. The families then read
+    only the columns they need.
     """
     stage = stage or Stage(spark)
-    bronze = bronze.for_periods(list(periods) if periods is not None else None)
-    facts = stage.tables(
-        {
-            "claimed": claimed_pupils(bronze, *CLAIMED_COLUMNS, how=how),
-            "scored": scored_pupils(bronze, *SCORED_COLUMNS, how=how),
-        }
-    )
-    rows_of = {claimed_pupils: facts["claimed"], scored_pupils: facts["scored"]}
+    bronze, labels = bronze.for_periods(periods), Labels(codes, defaults, default)
+    columns = dict.fromkeys((*CLAIMED_COLUMNS, *SCORED_COLUMNS))
+    scored = stage.tables({"scored": scored_pupils(bronze, *columns, how=how)})["scored"]
+    claimed = stage.tables({"claimed": with_claims(scored, bronze, how)})["claimed"]
+    rows_of = {claimed_pupils: claimed, scored_pupils: scored}
     return stage.tables(
-        {name: family.wide(bronze, codes, how, facts=rows_of[family.facts]) for name, family in FAMILIES.items()}
+        {name: family.wide(bronze, labels, how, facts=rows_of[family.facts]) for name, family in FAMILIES.items()}
     )
 
 
 def all_reports(
-    spark: SparkSession, bronze: Bronze, periods: Iterable[str] | None = None, **options
+    spark: SparkSession, bronze: Bronze, periods: str | Iterable[str] | None = None, **options
 ) -> dict[str, DataFrame]:
     """Every report as a projection of the staged family aggregates."""
     wide = staged_families(spark, bronze, periods, **options)
@@ -70,7 +71,7 @@ def write_all_csv(
     spark: SparkSession,
     bronze: Bronze,
     root: str,
-    periods: Iterable[str] | None = None,
+    periods: str | Iterable[str] | None = None,
     parts: int | Mapping[str, int] | None = None,
     **options,
 ) -> dict[str, str]:
@@ -79,15 +80,17 @@ def write_all_csv(
     ``parts`` sets the number of CSV parts, for all reports or by report name. By default the sort
     decides: a report's parts, read in name order, are in report order.
     """
-    years = sorted(set(periods)) if periods is not None else present_periods(bronze)
+    years = as_periods(periods) or present_periods(bronze)
     suffix = year_suffix(years)
     paths = {name: f"{root}/{FILE_NAMES[name].format(years=suffix)}" for name in REPORTS}
 
     def write(name: str, df: DataFrame) -> None:
-        write_csv(REPORTS[name].ordered(df), paths[name], parts.get(name) if isinstance(parts, Mapping) else parts)
+        number = parts.get(name) if isinstance(parts, Mapping) else parts
+        write_csv(df, paths[name], number, REPORTS[name].sort_keys())
 
-    finished = all_reports(spark, bronze, years, **options)
-    run_together(spark, [lambda n=name, d=df: write(n, d) for name, df in finished.items()])
+    with Stage(spark) as stage:
+        finished = all_reports(spark, bronze, years, stage=stage, **options)
+        run_together(spark, [lambda n=name, d=df: write(n, d) for name, df in finished.items()])
     return paths
 
 
@@ -96,13 +99,14 @@ def write_all_tables(
     bronze: Bronze,
     schema: str | None = None,
     catalog: str | None = None,
-    periods: Iterable[str] | None = None,
+    periods: str | Iterable[str] | None = None,
     **options,
 ) -> list[str]:
     """Create or replace one table per report; tables are left unsorted."""
-    written = []
-    for name, df in all_reports(spark, bronze, periods, **options).items():
-        table = FILE_NAMES[name].removesuffix("_{years}")
-        write_table(df, table, schema, catalog)
-        written.append(table)
-    return written
+    tables = {name: FILE_NAMES[name].removesuffix("_{years}") for name in REPORTS}
+    with Stage(spark) as stage:
+        finished = all_reports(spark, bronze, periods, stage=stage, **options)
+        run_together(
+            spark, [lambda t=tables[name], d=df: write_table(d, t, schema, catalog) for name, df in finished.items()]
+        )
+    return list(tables.values())

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import columns as names
-from tallyframe.functions.codes import COMPLETION_STATUS, STANDARD_CODES
-from tallyframe.functions.decode import decode, decode_columns
+from tallyframe.functions.codes import COMPLETION_STATUS, DEFAULT_LABELS, STANDARD_CODES
+from tallyframe.functions.decode import PASSTHROUGH, decode, decode_columns
 from tallyframe.operators.shape import renamed_select
 from tallyframe.sources.bronze import Bronze
 
@@ -40,15 +40,23 @@ def renamed(table: str, df: DataFrame, *only: str) -> DataFrame:
     return renamed_select(df, names.SOURCES[table], only or VIEW_COLUMNS[table])
 
 
-def silver(table: str, df: DataFrame, codes: Mapping[str, Mapping[str, str]] = STANDARD_CODES) -> DataFrame:
-    """The decoded view of one raw table."""
-    view = decode_columns(renamed(table, df), codes=codes)
+def silver(
+    table: str,
+    df: DataFrame,
+    codes: Mapping[str, Mapping[str, str]] = STANDARD_CODES,
+    defaults: Mapping[str, str] = DEFAULT_LABELS,
+    default: str | None = None,
+) -> DataFrame:
+    """The decoded view of one raw table; ``default`` is one label for all unknown codes and NULLs."""
+    view = decode_columns(renamed(table, df), codes=codes, defaults=defaults, default=default)
     if table == "pupil":
         keys = ("pupil_id", "school_id", "time_period")
         rest = [c for c in VIEW_COLUMNS["pupil"] if c not in keys]
         return view.select(*keys, F.lit(TIME_IDENTIFIER).alias("time_identifier"), *rest)
     if table == "results":
-        return view.withColumn("completion_status_label", decode("completion_status", COMPLETION_STATUS))
+        return view.withColumn(
+            "completion_status_label", decode("completion_status", COMPLETION_STATUS, PASSTHROUGH if default is None else default)
+        )
     return view
 
 

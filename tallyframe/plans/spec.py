@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -58,8 +59,9 @@ class ReportSpec:
 
     @staticmethod
     def _sort_key(item: str):
-        name, _, direction = item.partition(" ")
-        return F.col(name).desc() if direction.strip().upper() == "DESC" else F.col(name).asc()
+        name, direction = re.fullmatch(r"(.*?)(?:\s+(ASC|DESC))?\s*", item, re.IGNORECASE | re.DOTALL).groups()
+        column = F.col("`" + name.replace("`", "``") + "`")
+        return column.desc() if (direction or "").upper() == "DESC" else column.asc()
 
 
 @dataclass(frozen=True)

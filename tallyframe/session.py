@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import SparkSession
 
 #: AQE sizes shuffle partitions from the data and splits skewed join partitions. The initial partition
@@ -26,14 +28,14 @@ PARTITION_BYTES = 128 << 20
 
 def initial_partitions(shuffle_bytes: int) -> int:
     """Shuffle partitions of about 128 MB each. AQE merges small ones but never makes more than these."""
-    return min(max(200, -(-shuffle_bytes // PARTITION_BYTES)), 100_000)
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
 
 
-def builder(app: str = "tallyframe", master: str | None = None, shuffle_bytes: int = 1 << 40) -> SparkSession.Builder:
+def builder(app: str = "tallyframe", master: str | None = None, shuffle_bytes: int | None = None) -> SparkSession.Builder:
     """Session builder for local runs (``master="local[8]"``) or a cluster.
 
     ``shuffle_bytes`` is the size of the largest shuffle to expect: for the reports, the columns they use of
-    the three fact tables.
+    the three fact tables. Without it a cluster gets partitions for 1 TB, with a warning.
     """
     b = SparkSession.builder.appName(app)
     for key, value in SETTINGS.items():
@@ -42,4 +44,7 @@ def builder(app: str = "tallyframe", master: str | None = None, shuffle_bytes: i
         b = b.master(master)
     if master and master.startswith("local"):
         return b.config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+    if shuffle_bytes is None:
+        warnings.warn("shuffle_bytes is not given: shuffle partitions are sized for 1 TB", stacklevel=2)
+        shuffle_bytes = 1 << 40
     return b.config("spark.sql.shuffle.partitions", str(initial_partitions(shuffle_bytes)))

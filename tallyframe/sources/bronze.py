@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.operators.periods import only_periods
+from tallyframe.operators.periods import as_periods, only_periods
 from tallyframe.sources.schemas import BRONZE, PARTITION_COLUMN, PARTITIONED
 
 
@@ -33,9 +33,9 @@ class Bronze:
 
     def for_periods(self, periods: str | Iterable[str] | None) -> Bronze:
         """Only the given years of every fact table: a partition filter on each of the three scans."""
+        periods = as_periods(periods)
         if periods is None:
             return self
-        periods = periods if isinstance(periods, str) else list(periods)
         return self.map(
             lambda name, df: only_periods(df, periods, PARTITION_COLUMN) if name in PARTITIONED else df
         )

@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from tallyframe.operators.shape import all_of
+
+#: the defaults would cut timestamps to milliseconds
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def absent_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``, one per key.
 
     Of several new rows with one key the least payload wins, so the choice does not depend on row order.
     That is a mergeable aggregate: repeats of a hot key shrink to one row per task before the shuffle.
-    As in a UNIQUE constraint, NULL keys never match existing ones.
+    NULL is a key value like any other: it matches an existing NULL, so inserting the same rows twice adds
+    nothing, and of new rows with one key, NULLs included, one stays.
     """
     payload = [c for c in new.columns if c not in keys]
     if payload:
@@ -24,7 +34,9 @@ def absent_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
         one = one.select(*keys, *[F.col("__row")[c].alias(c) for c in payload]).select(*new.columns)
     else:
         one = new.select(*keys).distinct()
-    return one.join(existing.select(*keys).distinct(), list(keys), "left_anti").select(*new.columns)
+    held = existing.select(*[F.col(k).alias(f"__held_{k}") for k in keys]).distinct()
+    same = all_of(F.col(k).eqNullSafe(F.col(f"__held_{k}")) for k in keys)
+    return one.join(held, same, "left_anti").select(*new.columns)
 
 
 def insert_if_absent(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
@@ -48,40 +60,56 @@ def pack_snapshot(df: DataFrame, report_id: str, taken_at: datetime | None = Non
     return df.select(
         F.lit(report_id).alias("report_id"),
         stamp.alias("snapshot_timestamp"),
-        F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("data"),
+        F.to_json(F.struct(*[F.col(c) for c in df.columns]), _JSON).alias("data"),
     )
 
 
 def unpack_snapshot(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The report rows of a packed snapshot."""
-    return df.select(F.from_json("data", schema).alias("__row")).select("__row.*")
+    return df.select(F.from_json("data", schema, _JSON).alias("__row")).select("__row.*")
+
+
+def _snapshot_key(taken_at: datetime) -> str:
+    """Name of a snapshot's partition: its time in UTC, ordered as text."""
+    return taken_at.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
 
 
-SNAPSHOT_SCHEMA = T.StructType(
-    [
-        T.StructField("report_id", T.StringType()),
-        T.StructField("snapshot_timestamp", T.TimestampType()),
-        T.StructField("data", T.StringType()),
-    ]
-)
+def _snapshot_keys(spark: SparkSession, path: str, report_id: str) -> list[str]:
+    """Keys of the stored snapshots of a report, from the folder names alone."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/report_id={quote(report_id)}")
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(n.partition("=")[2] for n in names if n.startswith("snapshot="))
+
+
+def _snapshot_path(path: str, report_id: str, key: str) -> str:
+    return f"{path}/report_id={quote(report_id)}/snapshot={key}"
 
 
 def write_snapshot(df: DataFrame, path: str, report_id: str, taken_at: datetime) -> bool:
-    """Append a snapshot of a report; does nothing and returns False if that (report, time) is there."""
-    stored = _read(df.sparkSession, path, SNAPSHOT_SCHEMA)
-    taken = stored.filter((F.col("report_id") == report_id) & (F.col("snapshot_timestamp") == F.lit(taken_at)))
-    if not taken.isEmpty():
+    """Store a snapshot of a report; does nothing and returns False if that (report, time) is there.
+
+    A snapshot is a partition of its own. Two writers of the same one at the same time overwrite each other rather than
+    both being kept.
+    """
+    key = _snapshot_key(taken_at)
+    if key in _snapshot_keys(df.sparkSession, path, report_id):
         return False
-    pack_snapshot(df, report_id, taken_at).write.mode("append").partitionBy("report_id").parquet(path)
+    packed = pack_snapshot(df, report_id, taken_at).drop("report_id")
+    packed.write.mode("overwrite").parquet(_snapshot_path(path, report_id, key))
     return True
 
 
 def read_snapshot(
     spark: SparkSession, path: str, report_id: str, schema: T.StructType, taken_at: datetime | None = None
 ) -> DataFrame:
-    """Rows of one snapshot of a report, by default of its latest one."""
-    stored = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path).filter(F.col("report_id") == report_id)
-    if taken_at is not None:
-        return unpack_snapshot(stored.filter(F.col("snapshot_timestamp") == F.lit(taken_at)), schema)
-    latest = stored.agg(F.max("snapshot_timestamp").alias("snapshot_timestamp"))
-    return unpack_snapshot(stored.join(F.broadcast(latest), "snapshot_timestamp", "left_semi"), schema)
+    """Rows of one snapshot of a report, by default of its latest one; no other snapshot is read."""
+    keys = _snapshot_keys(spark, path, report_id)
+    wanted = keys[-1:] if taken_at is None else [k for k in keys if k == _snapshot_key(taken_at)]
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    stored = spark.read.schema("snapshot_timestamp timestamp, data string")
+    return unpack_snapshot(stored.parquet(_snapshot_path(path, report_id, wanted[0])), schema)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tallyframe.sources.bronze import qualified
 
@@ -22,14 +22,17 @@ def year_suffix(periods: Iterable[str]) -> str:
     return f"{end_year(ordered[0])}_to_{end_year(ordered[-1])}"
 
 
-def write_csv(df: DataFrame, path: str, parts: int | None = None) -> None:
+def write_csv(df: DataFrame, path: str, parts: int | None = None, order: Sequence[str | Column] = ()) -> None:
     """Write a report as a folder of CSV parts with headers, replacing what was there.
 
     By default every partition writes its own part. ``parts=1`` gives the one-file form for reports that
     are known to be small; the rows then all pass through one task, after the parallel part of the job.
+    With ``order`` the parts, read in name order, are in that order: rows are dealt to them by range.
     """
     if parts is not None:
-        df = df.coalesce(parts)
+        df = df.repartitionByRange(parts, *order).sortWithinPartitions(*order) if order else df.coalesce(parts)
+    elif order:
+        df = df.orderBy(*order)
     df.write.mode("overwrite").option("header", True).csv(path)
 
 

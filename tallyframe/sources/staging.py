@@ -39,13 +39,26 @@ class Stage:
     """Tables written once and read back by several later jobs.
 
     A written table cuts the lineage and survives lost executors, and unlike a checkpointed RDD its
-    readers prune columns and push filters down.
+    readers prune columns and push filters down. As a context manager it deletes its folder at the end, when the
+    sinks that read from it have finished.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self._spark = spark
         self.path = f"{root or staging_root(spark)}/stage-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.remove()
+
+    def remove(self) -> None:
+        """Delete the staged tables."""
+        folder = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = folder.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration())
+        system.delete(folder, True)
+
     def tables(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """Write each frame, all at the same time, and return them as stored tables."""
         paths = {name: f"{self.path}/{name}" for name in frames}

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from tallyframe.operators.distribution import cumulative, frequencies, group_totals
 from tallyframe.operators.periods import (
+    as_periods,
     compare_periods,
     distinct_periods,
     last_periods,
@@ -114,13 +115,18 @@ def test_compare_periods_pairs_null_dims_and_keeps_one_sided_groups(spark):
     )
 
 
-def test_wider_extracts_rename_their_further_columns(spark):
-    df = spark.createDataFrame([("a", "b", "c")], "gor_code string, gender string, acad_year_label string")
-    from tallyframe.functions import columns
+def test_periods():
+    assert as_periods(None) is None and as_periods("202324") == ["202324"]
+    assert as_periods({"202425", "202324"}) == ["202324", "202425"]
+    for wrong in ("2023", ["202324", "2"], ["2023-24"]):
+        with pytest.raises(ValueError):
+            as_periods(wrong)
 
-    assert rename(df, columns.PUPIL | columns.PUPIL_EXTRA | columns.TIME).columns == [
-        "region_code", "sex", "time_identifier",
-    ]
+
+def test_compare_periods_fails_on_repeated_rows(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 9), ("b", "x", 2)], "time_period string, d string, m bigint")
+    with pytest.raises(Exception, match="more than one row of period a"):
+        compare_periods(df, ["d"], ["m"], "a", "b").collect()
 
 
 def test_partition_sizing():
@@ -128,4 +134,4 @@ def test_partition_sizing():
 
     assert initial_partitions(0) == 200
     assert initial_partitions(1 << 40) == 8192
-    assert initial_partitions(100 << 40) == 100_000
+    assert initial_partitions(100 << 40) == 819_200

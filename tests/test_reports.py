@@ -181,3 +181,23 @@ def test_two_counted_aggregates_share_groups(bronze):
     b = build_report("national_school_scores", bronze)
     shared = ["time_period", "sex", "education_phase", "establishment_count", "eligible_pupil_count", "mtc_score_average"]
     assert rows(a.select(shared)) == rows(b.select(shared))
+
+
+def test_area_and_school_filters_reach_the_pupils(spark, tmp_path):
+    from tallyframe.sources.bronze import bronze_from_parquet, write_bronze_parquet
+
+    write_bronze_parquet(as_bronze(spark, random_tables(3)), str(tmp_path))
+    bronze = bronze_from_parquet(spark, str(tmp_path))
+    for name, filters in (
+        ("regional_la_pupil_scores", {"region_name": "North"}),
+        ("national_school", {"education_phase": "Primary"}),
+    ):
+        text = plan(build_report(name, bronze, filters=filters))
+        scan = next(line for line in text.splitlines() if "birth_month" in line or "/pupil" in line)
+        assert "LeftSemi" in text and text.index("LeftSemi") < text.index(scan)
+        # the semi-join is the first join above the pupil scan
+        above = text[: text.index(scan)].splitlines()
+        assert "LeftSemi" in next(line for line in reversed(above) if "Join" in line), text
+        assert rows(build_report(name, bronze, filters=filters)) == rows(
+            build_report(name, bronze).filter(f"{next(iter(filters))} = '{next(iter(filters.values()))}'")
+        )

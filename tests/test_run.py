@@ -40,6 +40,27 @@ def test_csv_run(spark, bronze, tmp_path):
     assert text[0] == ",".join(REPORTS["national_school"].columns)
 
 
+def test_one_year_as_a_string(spark, bronze):
+    for name, df in all_reports(spark, bronze, "202324").items():
+        assert rows(df) == rows(build_report(name, bronze, periods="202324")), name
+    with pytest.raises(ValueError):
+        all_reports(spark, bronze, "2023")
+
+
+def test_staged_tables_are_removed(spark, bronze, tmp_path):
+    from tallyframe.sources.staging import staging_root
+
+    root = staging_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    write_all_csv(spark, bronze, str(tmp_path), "202223")
+    assert set(os.listdir(root)) == before
+
+
+def test_default_label_for_the_whole_run(spark, bronze):
+    for name, df in all_reports(spark, bronze, default="Total").items():
+        assert rows(df) == rows(build_report(name, bronze, default="Total")), name
+
+
 def test_table_run(spark, bronze):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     written = write_all_tables(spark, bronze, schema="gold", periods=["202223"])

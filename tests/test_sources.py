@@ -182,6 +182,16 @@ def test_absent_rows(spark):
     assert rows(keys_only) == sorted([(None,), ("y",)], key=repr)
 
 
+def test_null_keys_match(spark, tmp_path):
+    new = spark.createDataFrame([(None, 1), (None, 2), ("b", 6), ("b", None)], "k string, v int")
+    for _ in range(3):
+        insert_if_absent(spark, str(tmp_path / "t"), new, ["k"])
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == sorted([(None, 1), ("b", None)], key=repr)
+    for _ in range(3):
+        insert_if_absent(spark, str(tmp_path / "u"), new, ["k", "v"])
+    assert rows(spark.read.parquet(str(tmp_path / "u"))) == rows(new)
+
+
 def test_insert_if_absent_is_repeatable(spark, tmp_path):
     path = str(tmp_path / "table")
     first = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
@@ -191,6 +201,19 @@ def test_insert_if_absent_is_repeatable(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def test_snapshots_give_back_every_type(spark, tmp_path):
+    df = spark.sql(
+        "SELECT timestamp'2024-02-29 00:00:00.123456' AS t, timestamp_ntz'1999-12-31 23:59:59.000001' AS n, "
+        "date'1900-01-01' AS d, 12345678901234.5678BD AS m, cast('ab' AS binary) AS b, double('NaN') AS f, "
+        "float(1.1) AS g, true AS o, array(1, NULL) AS a, map('k', 'v') AS p, named_struct('x', 9223372036854775807) AS s, "
+        "'quote\" comma, \u00e9' AS c, cast(NULL AS int) AS z"
+    )
+    path = str(tmp_path / "types")
+    assert write_snapshot(df, path, "a report/ä", datetime(2025, 1, 1, 0, 0, 0, 1))
+    assert rows(read_snapshot(spark, path, "a report/ä", df.schema).drop("f")) == rows(df.drop("f"))
+    assert read_snapshot(spark, path, "other", df.schema).count() == 0
+
+
 def test_snapshots(spark, tmp_path):
     path = str(tmp_path / "snapshots")
     early, late = datetime(2025, 1, 1, 12), datetime(2025, 2, 1, 12)

@@ -74,3 +74,12 @@ def test_mapped_columns(spark, tables):
     clash = spark.createDataFrame([("r", "age", "x"), ("r", "id", "x")], mapping.schema)
     with pytest.raises(ValueError, match="one target"):
         mapped_columns(tables["people"], clash, "r")
+
+
+def test_order_by_names_with_blanks(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c")], "k int, v string")
+    spec = ReportSpec(base="t", columns={"my col": "t.v", "desc": "t.k"}, order_by=("my col DESC",))
+    assert [r["my col"] for r in spec.build({"t": df}).collect()] == ["c", "b", "a"]
+    for order, first in (("my col", 2), ("desc", 1), ("desc desc", 3), ("my col asc", 2)):
+        built = ReportSpec(base="t", columns=spec.columns, order_by=(order,)).build({"t": df})
+        assert built.first()["desc"] == first
