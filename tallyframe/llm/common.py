@@ -26,10 +26,15 @@ def ascii_lower(text: Column) -> Column:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows stored once in the shared folder of ``spark.checkpoint.dir``; the lineage ends there."""
+    """The rows stored once in the shared folder of ``spark.checkpoint.dir``; the lineage ends there.
+
+    Shuffle files of steps that are over stay on the executors' disks until the driver collects its garbage,
+    which may take long. It does so before each step, so that an operator of many steps holds the files of one.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(staging_root(df.sparkSession))
+    context._jvm.System.gc()
     return df.checkpoint()
 
 
