@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -26,6 +27,8 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead title tr ul".split()
 )
 REGIONS = frozenset("article aside body div footer form header main nav ol section table td ul".split())
+#: what stands in prose as part of it
+FLOW = frozenset("ol table td ul".split())
 DROPPED = frozenset(
     "aside audio button canvas dialog embed footer form head iframe input map menu nav noscript object option script "
     "select style svg template textarea title video".split()
@@ -60,33 +63,73 @@ def _is_dropped(tag: str, attributes: dict[str, str | None], in_main: bool) -> b
     return any(name.lower() in DROPPED_NAMES for name in _NAME.findall(names))
 
 
+class Region:
+    """A section-like element: its cluster, and the clusters of the regions in it by tag and class."""
+
+    __slots__ = ("tag", "cluster", "last", "inner")
+
+    def __init__(self, tag: str, cluster: int) -> None:
+        self.tag, self.cluster, self.last, self.inner = tag, cluster, None, {}
+
+
 class LineReader(HTMLParser):
     """Lines of a page, from the parser's events as they come.
 
     A line ends where a block element begins or ends. Each has its text, the number of tags on it, the characters in
-    links, its region (the innermost section-like element) and whether it lies in the article or main element.
+    links, the cluster of its region (the innermost open section-like element) and whether it lies in the article or
+    main element. Neighbours of one parent with the same tag and class are one cluster, and so are regions at the same
+    place in these. A list or table without a class belongs to the text around it.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool]] = []
         self._text: list[str] = []
-        self._tags = self._linked = self._region = self._links = self._main = 0
+        self._tags = self._linked = self._links = self._main = 0
+        # open section-like elements with the region around each, and how many there are of each tag
+        self._region, self._open, self._count = Region("", 0), [], Counter()
+        self._clusters, self._series = 1, {}
         # open elements with the same name as the dropped one, while inside it
         self._dropped, self._depth = "", 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append((text, self._tags, self._linked, self._region, self._main > 0))
+            self.lines.append((text, self._tags, self._linked, self._region.cluster, self._main > 0))
             self._tags = 0
         self._text, self._linked = [], 0
 
-    def _block(self, tag: str) -> None:
-        if tag in BLOCKS:
-            self._end_line()
-        if tag in REGIONS:
-            self._region += 1
+    def _enter(self, tag: str, attributes: dict[str, str | None]) -> None:
+        """Open a section-like element."""
+        name = " ".join((attributes.get("class") or "").split())
+        around, key = self._region, (tag, name)
+        if tag == "td" and self._count["td"] and self._open[-1][0] == "td":
+            self._leave("td")
+            around = self._region
+        self._open.append((tag, around))
+        self._count[tag] += 1
+        self._main += tag in MAIN
+        if tag in FLOW and not name and around.tag not in ("", "body", "table"):
+            return
+        if key != around.last:
+            first = (around.cluster, key)
+            if key in around.inner or first not in self._series:
+                self._series.setdefault(first, self._clusters)
+                around.inner[key] = self._clusters
+                self._clusters += 1
+            else:
+                around.inner[key] = self._series[first]
+            around.last = key
+        self._region = Region(tag, around.inner[key])
+
+    def _leave(self, tag: str) -> None:
+        """Close the innermost open element of this tag, and those in it that were never closed."""
+        while self._count[tag]:
+            last, self._region = self._open.pop()
+            self._count[last] -= 1
+            self._main -= last in MAIN
+            if last == tag:
+                break
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if self._dropped and tag in MAIN and self._dropped not in MAIN:
@@ -95,7 +138,8 @@ class LineReader(HTMLParser):
         if self._dropped:
             self._depth += tag == self._dropped
             return
-        self._block(tag)
+        if tag in BLOCKS:
+            self._end_line()
         if tag in VOID:
             self._tags += 1
         elif _is_dropped(tag, dict(attrs), self._main > 0):
@@ -104,13 +148,15 @@ class LineReader(HTMLParser):
         else:
             self._tags += 1
             self._links += tag == "a"
-            self._main += tag in MAIN
+            if tag in REGIONS:
+                self._enter(tag, dict(attrs))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         if tag in VOID:
             self.handle_starttag(tag, attrs)
         elif not self._dropped:
-            self._block(tag)
+            if tag in BLOCKS:
+                self._end_line()
             self._tags += 1
 
     def handle_endtag(self, tag: str) -> None:
@@ -119,12 +165,13 @@ class LineReader(HTMLParser):
             if self._depth == 0:
                 self._dropped = ""
             return
-        self._block(tag)
+        if tag in BLOCKS:
+            self._end_line()
         self._tags += 1
         if tag == "a":
             self._links = max(0, self._links - 1)
-        if tag in MAIN:
-            self._main = max(0, self._main - 1)
+        if tag in REGIONS:
+            self._leave(tag)
 
     def handle_data(self, data: str) -> None:
         if not self._dropped:
@@ -148,8 +195,8 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def main_text(html: str) -> str:
     """The article's text, its blocks joined by single spaces.
 
-    Regions whose smoothed text-to-tag ratio somewhere reaches the threshold, the standard deviation of all lines,
-    are content; their short lines come with them. On a page with an article or main element only regions inside it
+    Clusters of regions whose smoothed text-to-tag ratio somewhere reaches the threshold, the standard deviation of
+    all lines, are content; their short lines come with them. On a page with an article or main element only regions inside it
     count. Lists of links need the threshold themselves.
     """
     cut = html.rfind("<")
