@@ -76,26 +76,27 @@ class LineReader(HTMLParser):
     """Lines of a page, from the parser's events as they come.
 
     A line ends where a block element begins or ends. Each has its text, the number of tags on it, the characters in
-    links, the cluster of its region (the innermost open section-like element) and whether it lies in the article or
-    main element. Neighbours of one parent with the same tag and class are one cluster, and so are regions at the same
+    links, the cluster of its region (the innermost open section-like element), whether it lies in the article or
+    main element, and whether it is an h1. Neighbours of one parent with the same tag and class are one cluster, and so are regions at the same
     place in these. A list or table without a class belongs to the text around it.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, int, bool, bool]] = []
         self._text: list[str] = []
         self._tags = self._linked = self._links = self._main = 0
         # open section-like elements with the region around each, and how many there are of each tag
         self._region, self._open, self._count = Region("", 0), [], Counter()
         self._clusters, self._series = 1, {}
+        self._title = False
         # open elements with the same name as the dropped one, while inside it
         self._dropped, self._depth = "", 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append((text, self._tags, self._linked, self._region.cluster, self._main > 0))
+            self.lines.append((text, self._tags, self._linked, self._region.cluster, self._main > 0, self._title))
             self._tags = 0
         self._text, self._linked = [], 0
 
@@ -140,6 +141,7 @@ class LineReader(HTMLParser):
             return
         if tag in BLOCKS:
             self._end_line()
+            self._title = tag == "h1"
         if tag in VOID:
             self._tags += 1
         elif _is_dropped(tag, dict(attrs), self._main > 0):
@@ -167,6 +169,7 @@ class LineReader(HTMLParser):
             return
         if tag in BLOCKS:
             self._end_line()
+            self._title = False
         self._tags += 1
         if tag == "a":
             self._links = max(0, self._links - 1)
@@ -195,9 +198,9 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def main_text(html: str) -> str:
     """The article's text, its blocks joined by single spaces.
 
-    Clusters of regions whose smoothed text-to-tag ratio somewhere reaches the threshold, the standard deviation of
-    all lines, are content; their short lines come with them. On a page with an article or main element only regions inside it
-    count. Lists of links need the threshold themselves.
+    Clusters of regions whose smoothed text-to-tag ratio, the mean over their characters, reaches the threshold, the
+    standard deviation of all lines, are content; their short lines come with them. If some of the content lies in an
+    article or main element, only what lies there counts, with its h1. Lists of links need the threshold themselves.
     """
     cut = html.rfind("<")
     if cut > html.rfind(">") and re.match(r"[A-Za-z/!?]", html[cut + 1 : cut + 2]):
@@ -208,17 +211,18 @@ def main_text(html: str) -> str:
     lines = reader.lines
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, *_ in lines], float))
+    sizes = np.array([len(t) for t, *_ in lines], float)
+    ratios = smoothed(sizes / np.array([max(1, tags) for _, tags, *_ in lines]))
+    clusters = np.array([cluster for *_, cluster, _, _ in lines])
+    inside = np.array([in_main for *_, in_main, _ in lines])
+    titles = np.array([title for *_, title in lines])
+    linked = np.array([n for _, _, n, *_ in lines]) > LINK_SHARE * sizes
     threshold = float(np.std(ratios))
-    inside = [in_main for *_, in_main in lines]
-    candidates = [i for i in range(len(lines)) if inside[i] or not any(inside)]
-    regions = {lines[i][3] for i in candidates if any(inside) or ratios[i] >= threshold}
-    kept = []
-    for i in candidates:
-        text, _, linked, region, _ = lines[i]
-        if region in regions and (linked <= LINK_SHARE * len(text) or ratios[i] >= threshold):
-            kept.append(text)
-    return " ".join(kept)
+    means = np.bincount(clusters, ratios * sizes) / np.maximum(1, np.bincount(clusters, sizes))
+    content = (means >= min(threshold, means.max()))[clusters] & (~linked | (ratios >= threshold))
+    if (content & inside).any():
+        content = (content | titles) & inside
+    return " ".join(t for (t, *_), kept in zip(lines, content, strict=True) if kept)
 
 
 def _extracted() -> Step:

@@ -24,3 +24,16 @@ def test_text_after_nested_and_beside(html, text):
 
 def test_many_open_elements():
     assert main_text("<div><section>" * 20_000 + LONG + "</div></ul>" * 20_000) == LONG
+
+
+BOX = '<div class="mc-box"><p>Buy</p><p>now</p><p>cheap</p><p>offer</p><p>here</p></div>'
+
+
+def test_ratios_decide_inside_an_article():
+    page = f"<article><div><h1>Title</h1></div>{BOX}<p>{LONG}</p><p>Short.</p><p>{LONG}</p>{BOX}<p>{LONG}</p></article>"
+    assert main_text(page) == f"Title {LONG} Short. {LONG} {LONG}"
+
+
+def test_article_without_content():
+    page = f"<body><article>{BOX}</article><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert main_text(page) == f"{LONG} {LONG} {LONG}"
