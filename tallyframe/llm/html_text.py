@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from html.parser import HTMLParser
@@ -29,6 +30,8 @@ BLOCKS = frozenset(
 REGIONS = frozenset("article aside body div footer form header main nav ol section table td ul".split())
 #: what stands in prose as part of it
 FLOW = frozenset("ol table td ul".split())
+#: elements that end where the next of the same tag begins
+UNNESTED = frozenset("li option p td".split())
 DROPPED = frozenset(
     "aside audio button canvas dialog embed footer form head iframe input map menu nav noscript object option script "
     "select style svg template textarea title video".split()
@@ -44,23 +47,51 @@ DROPPED_NAMES = frozenset(
     "related reply replies respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe "
     "subscription tags toolbar topbar warning widget widgets".split()
 )
-_NAME = re.compile(r"[A-Za-z]+")
-_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# names of several words, in one piece
+DROPPED_NAMES |= frozenset(
+    "adbanner adbox adcontainer adslot adunit adwrapper commentform commentsarea commentsection cookiebanner cookiebar "
+    "cookieconsent cookienotice entrytags globalfooter globalheader leftsidebar loginform mainmenu mainnav mainnavigation "
+    "navmenu newslettersignup posttags recommendedposts relatedarticles relatedcontent relatedlinks relatedposts "
+    "relatedstories rightsidebar searchbar searchbox searchform sharebar sharebuttons sharelinks sidebarleft sidebarright "
+    "navlinks sidemenu sidenav signupform sitefooter siteheader sitenav sitenavigation skiplink skipnav socialicons sociallinks "
+    "socialmedia socialshare socialsharing subnav tagcloud taglist topmenu topnav widgetarea".split()
+)
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+
 
+def _dropped_by(tag: str, attributes: dict[str, str | None], in_main: bool) -> str:
+    """Why an element is left out: its tag (or role), hidden, its name, or empty if it is not.
 
-def _is_dropped(tag: str, attributes: dict[str, str | None], in_main: bool) -> bool:
+    Names are whole words of class and the whole id, without hyphens and underscores.
+    """
+    if tag in ("html", "body"):
+        return ""
+    if tag == "form":
+        return "name"
     if tag in DROPPED or tag == "header" and not in_main:
-        return True
-    if tag in MAIN and not attributes.get("class") or tag in ("html", "body"):
-        return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style") or "", re.IGNORECASE):
-        return True
+        return "tag"
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or _HIDDEN.search(attributes.get("style") or ""):
+        return "hidden"
+    if tag in MAIN:
+        return ""
     if (attributes.get("role") or "").lower() in DROPPED_ROLES:
-        return True
-    names = _CAMEL.sub(" ", f"{attributes.get('class') or ''} {attributes.get('id') or ''}")
-    return any(name.lower() in DROPPED_NAMES for name in _NAME.findall(names))
+        return "tag"
+    words = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".lower().replace("-", "").replace("_", "")
+    names = DROPPED_NAMES.intersection(words.split())
+    return "name" if names - {"header"} or names and not in_main else ""
+
+
+class Drop:
+    """An open or closed element that is to be left out, with the one around it.
+
+    ``main`` is how many article or main elements were open at its start. Lines in up to ``limit`` of them are left out.
+    """
+
+    __slots__ = ("around", "why", "main", "closed", "size", "holds_main", "limit", "firm")
+
+    def __init__(self, around: Drop | None, why: str, main: int) -> None:
+        self.around, self.why, self.main, self.closed = around, why, main, False
+        self.size, self.holds_main, self.limit, self.firm = 0, False, -1, -1
 
 
 class Region:
@@ -84,33 +115,37 @@ class LineReader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int, bool, bool]] = []
+        self._all: list[tuple[tuple[str, int, int, int, bool, bool], int, Drop]] = []
         self._text: list[str] = []
         self._tags = self._linked = self._links = self._main = 0
-        # open section-like elements with the region around each, and how many there are of each tag
+        # open section-like or dropped elements with what is around each, and how many there are of each tag
         self._region, self._open, self._count = Region("", 0), [], Counter()
         self._clusters, self._series = 1, {}
         self._title = False
-        # open elements with the same name as the dropped one, while inside it
-        self._dropped, self._depth = "", 0
+        self._drop = Drop(None, "", 0)
+        self._drops = [self._drop]
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append((text, self._tags, self._linked, self._region.cluster, self._main > 0, self._title))
+            line = (text, self._tags, self._linked, self._region.cluster, self._main > 0, self._title)
+            self._all.append((line, self._main, self._drop))
             self._tags = 0
         self._text, self._linked = [], 0
 
-    def _enter(self, tag: str, attributes: dict[str, str | None]) -> None:
-        """Open a section-like element."""
+    def _enter(self, tag: str, attributes: dict[str, str | None], why: str) -> None:
+        """Open a section-like or dropped element."""
         name = " ".join((attributes.get("class") or "").split())
         around, key = self._region, (tag, name)
-        if tag == "td" and self._count["td"] and self._open[-1][0] == "td":
-            self._leave("td")
-            around = self._region
-        self._open.append((tag, around))
+        self._open.append((tag, around, self._drop, (self._tags, self._links) if why else None))
         self._count[tag] += 1
         self._main += tag in MAIN
-        if tag in FLOW and not name and around.tag not in ("", "body", "table"):
+        if tag in MAIN and self._drop.around:
+            self._tags = self._links = 0
+        if why:
+            self._drop = Drop(self._drop, why, self._main)
+            self._drops.append(self._drop)
+        if tag not in REGIONS or tag in FLOW and not name and around.tag not in ("", "body", "table"):
             return
         if key != around.last:
             first = (around.cluster, key)
@@ -123,68 +158,97 @@ class LineReader(HTMLParser):
             around.last = key
         self._region = Region(tag, around.inner[key])
 
-    def _leave(self, tag: str) -> None:
-        """Close the innermost open element of this tag, and those in it that were never closed."""
+    def _leave(self, tag: str) -> bool:
+        """Close the innermost open element of this tag, and those in it that were never closed; whether one was dropped."""
+        dropped = False
         while self._count[tag]:
-            last, self._region = self._open.pop()
+            last, self._region, drop, before = self._open.pop()
+            if before:
+                self._drop.closed = last == tag
+                self._tags, self._links = before
+                dropped = True
+            self._drop = drop
             self._count[last] -= 1
             self._main -= last in MAIN
             if last == tag:
                 break
+        return dropped
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        if self._dropped and tag in MAIN and self._dropped not in MAIN:
-            # what was to be dropped was never closed
-            self._dropped = ""
-        if self._dropped:
-            self._depth += tag == self._dropped
-            return
         if tag in BLOCKS:
             self._end_line()
-            self._title = tag == "h1"
+            self._title = tag == "h1" or self._title and tag in VOID
+        last = self._open[-1][0] if self._open else ""
+        if last == "p" and tag in BLOCKS or last == tag and tag in UNNESTED:
+            self._leave(last)  # its end tag may be left out
         if tag in VOID:
             self._tags += 1
-        elif _is_dropped(tag, dict(attrs), self._main > 0):
+            return
+        attributes = dict(attrs)
+        why = _dropped_by(tag, attributes, self._main > 0)
+        if why:
             self._end_line()
-            self._dropped, self._depth = tag, 1
-        else:
+        if why or tag in REGIONS or self._count[tag]:
+            self._enter(tag, attributes, why)
+        if not why:
             self._tags += 1
             self._links += tag == "a"
-            if tag in REGIONS:
-                self._enter(tag, dict(attrs))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         if tag in VOID:
             self.handle_starttag(tag, attrs)
-        elif not self._dropped:
+        else:
             if tag in BLOCKS:
                 self._end_line()
             self._tags += 1
 
     def handle_endtag(self, tag: str) -> None:
-        if self._dropped:
-            self._depth -= tag == self._dropped
-            if self._depth == 0:
-                self._dropped = ""
-            return
-        if tag in BLOCKS:
+        if tag in BLOCKS or self._count[tag] and self._drop.around:
             self._end_line()
             self._title = False
+        if self._leave(tag):
+            return
         self._tags += 1
         if tag == "a":
             self._links = max(0, self._links - 1)
-        if tag in REGIONS:
-            self._leave(tag)
 
     def handle_data(self, data: str) -> None:
-        if not self._dropped:
-            self._text.append(data)
-            if self._links:
-                self._linked += len(data.strip())
+        if self._open and self._open[-1][0] in ("script", "style"):
+            return
+        self._text.append(data)
+        if self._links:
+            self._linked += len(data.strip())
+
+    def _limits(self) -> None:
+        """Up to how many open article or main elements lines are left out; what was never closed ends at the next one."""
+        for drop in self._drops[1:]:
+            own = math.inf if drop.closed else drop.main
+            drop.firm = max(drop.around.firm, own if drop.why == "tag" else -1)
+            drop.limit = max(drop.around.limit, own if drop.why else -1)
 
     def close(self) -> None:
+        """The lines that no drop leaves out.
+
+        If no article or main element is among them, an element is not dropped by its name if it holds most of the text,
+        and not as hidden if it holds an article or main besides.
+        """
         super().close()
         self._end_line()
+        self._limits()
+        if not any(main > max(0, drop.limit) for _, main, drop in self._all):
+            total = 0
+            for (text, *_), main, drop in self._all:
+                if main > drop.firm:
+                    total += len(text)
+                    drop.size += len(text)
+                    drop.holds_main |= main > 0
+            for drop in reversed(self._drops[1:]):
+                drop.around.size += drop.size
+                drop.around.holds_main |= drop.holds_main
+                if drop.size * 2 > total and (drop.why == "name" or drop.why == "hidden" and drop.holds_main):
+                    drop.why = ""
+            self._limits()
+        self.lines = [line for line, main, drop in self._all if main > drop.limit]
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -239,8 +303,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """The main text of every page, from its whole html.
 
     One pass of parser events per page; nothing is shuffled, and a page's memory is its own size. Broken markup is
-    read as the parser reads it: an element that is never closed ends with the page, but a dropped one at the
-    latest where the article begins.
+    read as the parser reads it: an element that is never closed ends with the one around it, but a dropped one at
+    the latest where the article begins. Articles in a dropped element that is closed go with it.
 
     Null and empty html give empty texts, as do pages without text. Null ids and repeated rows pass through. An
     empty table gives no rows. Other columns are not read, whatever their names.

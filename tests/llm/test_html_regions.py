@@ -37,3 +37,35 @@ def test_ratios_decide_inside_an_article():
 def test_article_without_content():
     page = f"<body><article>{BOX}</article><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>"
     assert main_text(page) == f"{LONG} {LONG} {LONG}"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f'<article class="post no-sidebar"><p>{LONG}</p></article>', LONG),
+        (f'<main class="has-sidebar"><p>{LONG}</p></main>', LONG),
+        (f'<article class="sidebar"><p>{LONG}</p></article>', LONG),
+        (f'<article class="entry share-enabled"><div class="article-header"><h1>T</h1></div><p>{LONG}</p></article>', f"T {LONG}"),
+        (f'<article><div class="header"><h1>T</h1></div><p>{LONG}</p></article>', f"T {LONG}"),
+        (f'<article><p>{LONG}</p><p class="share">Share<p>End.</p><div class="related-posts"><p>More</p></div></article>', f"{LONG} End."),
+        # articles in what is dropped and closed
+        (f'<article><p>{LONG}</p></article><div class="related"><article>{LONG}</article></div>', LONG),
+        (f'<article><p>{LONG}</p></article><section id="comments"><article>{LONG} no</article><article>no</article></section>', LONG),
+        (f'<article><p>{LONG}</p></article><aside><div><article>{LONG}</article></div></aside>', LONG),
+        # dropped and never closed
+        (f"<div><nav><a>menu<article><p>{LONG}</p></article></div>", LONG),
+        (f'<div class="related">menu<article><p>{LONG}</p></article>', LONG),
+        (f"<div><nav><a>menu</div><p>{LONG}</p>", LONG),
+        # what holds most of the text
+        (f'<div class="widget"><p>{LONG}</p></div>', LONG),
+        (f'<form id="all"><div class="sidebar">no</div><article><p>{LONG}</p></article></form>', LONG),
+        (f'<div hidden><p>{LONG}</p></div><p>shown</p>', "shown"),
+        (f'<span class="ad">no <span>no</span> no</span><p>{LONG}</p>', LONG),
+    ],
+)
+def test_dropped_by_name(html, text):
+    assert main_text(html) == text
+
+
+def test_many_open_drops():
+    assert main_text('<nav>x<div class="ad">y' * 20_000 + "<main>" + LONG + "</div></p>" * 20_000) == LONG
