@@ -17,14 +17,17 @@ FIRST_DATE, DATE_SIDE = "1900-01-01", 270
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){0,8}(?<=\.[A-Za-z]{2,24})"
 SECRET = (
     r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
-    r"(?=[A-Za-z+/_-]{0,200}\d)[A-Za-z0-9+/_-]{12,200}"
+    r"(?=[A-Za-z+/_.-]*+\d)[A-Za-z0-9+/_.-]{12,}(?<!\.)"
 )
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"
 IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
 ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?!\w|-\d)"
 LONG_DATE = r"(?<![\w./])\d{2}([./])\d{2}\1\d{4}(?!\w|[./]\d)"
 PHONE = r"(?<!\w)\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)"
-LOCAL_PHONE = r"(?<![\w(])\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
+LOCAL_PHONE = (
+    r"(?<![\w(])\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
+    r"|(?<![\w+(.-])(?<!\d[ ])\d{3}(?:-\d{3}-|\.\d{3}\.|[ ]\d{3}[ ])\d{4}(?!\w|[ .-]\d)"
+)
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?!\w|-\d)"
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d)"
 
@@ -56,20 +59,18 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _noise(key: str, tweak: Column, half: Column, n: Column) -> Column:
     """``n`` numbers below 65,536 from a keyed digest of the other half."""
     message = F.concat_ws("|", F.lit(key), tweak, F.array_join(F.transform(half, lambda x: x.cast("string")), ","))
-    blocks = lambda m: F.array_join(
-        F.transform(
-            F.sequence(F.lit(0), F.floor((n - 1) / 32).cast("int")),
-            lambda b: F.sha2(F.concat(m, F.lit("#"), b.cast("string")), 512),
-        ),
-        "",
-    )
-    return _let(
-        _let(message, blocks),
-        lambda digits: F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda i: F.conv(F.substring(digits, i * 4 + 1, F.lit(4)), 16, 10).cast("int"),
-        ),
-    )
+
+    def block(m: Column, b: Column) -> Column:
+        return _let(
+            F.sha2(F.concat(m, F.lit("#"), b.cast("string")), 512),
+            lambda digits: F.transform(
+                F.sequence(F.lit(0), F.least(F.lit(31), n - b * 32 - 1)),
+                lambda i: F.conv(F.substring(digits, i * 4 + 1, F.lit(4)), 16, 10).cast("int"),
+            ),
+        )
+
+    blocks = F.sequence(F.lit(0), F.floor((n - 1) / 32).cast("int"))
+    return _let(message, lambda m: F.flatten(F.transform(blocks, lambda b: block(m, b))))
 
 
 def feistel(symbols: Column, sizes: Column, key: str, tweak: Column) -> Column:
@@ -111,10 +112,10 @@ def permuted(text: Column, key: str, kind: str) -> Column:
     Other characters stay as they are.
     """
 
-    def alphabets(chars: Column) -> Column:
+    def alphabets(chars: Column, is_hex: Column) -> Column:
         return F.transform(
             chars,
-            lambda c: F.when(text.rlike("^[0-9a-f]+$") & ~text.rlike("^[0-9]+$"), F.lit(_HEX))
+            lambda c: F.when(is_hex, F.lit(_HEX))
             .when(c.between("0", "9"), F.lit(_DIGITS))
             .when(c.between("a", "z"), F.lit(_LOWER))
             .when(c.between("A", "Z"), F.lit(_UPPER))
@@ -129,8 +130,11 @@ def permuted(text: Column, key: str, kind: str) -> Column:
         )
         return F.array_join(F.zip_with(done, x["alphabets"], lambda s, a: F.substring(a, s + 1, F.lit(1))), "")
 
-    chars = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1)))
-    both = _let(chars, lambda c: F.struct(c.alias("chars"), alphabets(c).alias("alphabets")))
+    is_hex = text.rlike("^[0-9a-f]+$") & ~text.rlike("^[0-9]+$")
+    once = F.struct(F.filter(F.split(text, ""), lambda c: c != "").alias("chars"), is_hex.alias("is_hex"))
+    both = _let(
+        once, lambda x: F.struct(x["chars"].alias("chars"), alphabets(x["chars"], x["is_hex"]).alias("alphabets"))
+    )
     return F.when(F.length(text) == 0, text).otherwise(_let(both, run))
 
 
@@ -217,6 +221,11 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     passwords the value. Equal values have equal pseudonyms in all texts and different ones have different ones,
     so links between documents stay; with another ``key`` they are others. Whoever has the key can invert it.
 
+    A key or password is what follows one of the names in SECRET and = or :, whole, if it has 12 or more letters,
+    digits and any of +/_.- and at least one digit. What stays: values without a digit, shorter ones, those behind
+    another name or none (but AKIA and ASIA keys), and what follows any other character in a value. Phone numbers
+    are those with + and those of three, three and four digits with brackets, dashes, dots or spaces; others stay.
+
     All of this is column expressions, row by row; nothing is shuffled. Most texts have neither digits nor @ and
     are passed by.
 

@@ -1,0 +1,38 @@
+"""Whole secrets and phone numbers in every notation."""
+
+import re
+
+from tests.llm.test_html_pii_quality import new_texts, shape
+
+PART = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9"
+JWT = f"{PART}.eyJzdWIiOiIxMjM0NTY3ODkwIn0.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+
+
+def longest_shared(old, new):
+    run = best = 0
+    for a, b in zip(old, new, strict=True):
+        run = run + 1 if a == b else 0
+        best = max(best, run)
+    return best
+
+
+def test_whole_secrets(spark):
+    values = [JWT, PART * 40, "a" * 300 + "7" + "bC" * 50, "Ab3" * 4, "x1" * 4_000]
+    got = new_texts(spark, [f"token={v}. Next" for v in values] + ["the secret: internationally known"])
+    for i, value in enumerate(values):
+        new = re.fullmatch(r"token=(.*)\. Next", got[i].text)[1]
+        assert len(new) == len(value) and longest_shared(value, new) < 6 and got[i].kinds == ["secret"]
+        assert shape(new) == shape(value) or value.startswith("x1")
+    assert got[len(values)].n_replaced == 0
+    # the end of a sentence is not part of the value
+    assert new_texts(spark, [f"token={JWT}"])[0].text + ". Next" == got[0].text
+
+
+def test_phones_without_brackets(spark):
+    phones = ["555-123-4567", "555.123.4567", "555 123 4567"]
+    got = new_texts(spark, [f"call {p}, now" for p in phones])
+    for i, phone in enumerate(phones):
+        new = got[i].text.removeprefix("call ").removesuffix(", now")
+        assert got[i].kinds == ["local_phone"] and new != phone and shape(new) == shape(phone)
+    others = ["555-123-4567-8", "1-555-123-45678", "12 555 123 4567", "555-123.4567", "x555-123-4567"]
+    assert all(r.text == others[i] for i, r in new_texts(spark, others).items())
