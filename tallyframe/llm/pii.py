@@ -43,6 +43,10 @@ KINDS = {
     "social": SOCIAL,
     "card": CARD,
 }
+#: what stands between the digits of a number
+SEPARATORS = " .-()+"
+#: country codes: of one digit, of two, else of three
+COUNTRY = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ANY = "|".join(KINDS.values())
 #: no format does without one of these, so most texts are passed by
 HINT = "[0-9@]"
@@ -164,17 +168,36 @@ def _date(text: Column, key: str, formats: list[str]) -> Column:
     return out
 
 
-def _card(text: Column, key: str) -> Column:
+def _card(digits: Column, key: str) -> Column:
     """A number that passes the Luhn check, with a new check digit; any other stays."""
-    front = F.substring(text, F.lit(1), F.length(text) - 1)
-    digits = lambda x: F.regexp_replace(x, "[^0-9]", "")
+    front = F.substring(digits, F.lit(1), F.length(digits) - 1)
     check = lambda x: F.call_function("luhn_check", x)
 
     def checked(new: Column) -> Column:
         tries = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(new, d.cast("string")))
-        return F.get(F.filter(tries, lambda x: check(digits(x))), F.lit(0))
+        return F.get(F.filter(tries, check), F.lit(0))
 
-    return F.when(check(digits(text)), _let(permuted(front, key, "card"), checked)).otherwise(text)
+    return F.when(check(digits), _let(permuted(front, key, "card"), checked)).otherwise(digits)
+
+
+def _spaced(text: Column, change: Callable[[Column], Column]) -> Column:
+    """A number whose bare digits are changed; its separators stay where they are."""
+    bare = lambda x: F.translate(x, SEPARATORS, "")
+    return _let(
+        _let(bare(text), change),
+        lambda new: F.array_join(
+            F.transform(
+                F.sequence(F.lit(1), F.length(text)),
+                lambda i: _let(
+                    F.substring(text, i, F.lit(1)),
+                    lambda c: F.when(F.contains(F.lit(SEPARATORS), c), c).otherwise(
+                        F.substring(new, F.length(bare(F.substring(text, F.lit(1), i))), F.lit(1))
+                    ),
+                ),
+            ),
+            "",
+        ),
+    )
 
 
 def _behind(text: Column, key: str, kind: str, prefix: str) -> Column:
@@ -204,10 +227,10 @@ def pseudonym(match: Column, kind: Column, key: str) -> Column:
         .when(kind == "iso_date", _date(match, key, ["yyyy-MM-dd"]))
         .when((kind == "date") & match.contains("."), _date(match, key, ["dd.MM.yyyy", "MM.dd.yyyy"]))
         .when(kind == "date", _date(match, key, ["dd/MM/yyyy", "MM/dd/yyyy"]))
-        .when(kind == "phone", _behind(match, key, "phone", r"^\+\d{1,3}"))
-        .when(kind == "local_phone", permuted(match, key, "local_phone"))
-        .when(kind == "social", permuted(match, key, "social"))
-        .when(kind == "card", _card(match, key))
+        .when(kind == "phone", _spaced(match, lambda digits: _behind(digits, key, "phone", COUNTRY)))
+        .when(kind == "local_phone", _spaced(match, lambda digits: permuted(digits, key, "phone")))
+        .when(kind == "social", _spaced(match, lambda digits: permuted(digits, key, "social")))
+        .when(kind == "card", _spaced(match, lambda digits: _card(digits, key)))
         .otherwise(match)
     )
 
@@ -219,7 +242,7 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     the Luhn check, whose digit is made anew, IPv4 addresses by their octets, dates by the calendar. Of mail
     addresses the local part is permuted, of phone numbers what follows the country code, of keys and
     passwords the value. Equal values have equal pseudonyms in all texts and different ones have different ones,
-    so links between documents stay; with another ``key`` they are others. Whoever has the key can invert it.
+    card, phone and social numbers in whatever notation: their bare digits are permuted, separators stay. So links between documents stay; with another ``key`` they are others. Whoever has the key can invert it.
 
     A key or password is what follows one of the names in SECRET and = or :, whole, if it has 12 or more letters,
     digits and any of +/_.- and at least one digit. What stays: values without a digit, shorter ones, those behind

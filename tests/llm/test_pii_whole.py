@@ -36,3 +36,16 @@ def test_phones_without_brackets(spark):
         assert got[i].kinds == ["local_phone"] and new != phone and shape(new) == shape(phone)
     others = ["555-123-4567-8", "1-555-123-45678", "12 555 123 4567", "555-123.4567", "x555-123-4567"]
     assert all(r.text == others[i] for i, r in new_texts(spark, others).items())
+
+
+def test_one_number_in_all_notations(spark):
+    for notations in (
+        ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"],
+        ["+1 (988) 555-2485", "+19885552485", "+1-988-555-2485", "+1 988.555.2485"],
+        ["+44 20 7946 0958", "+442079460958"],
+        ["(555) 123-4567", "555-123-4567", "555.123.4567", "555 123 4567"],
+    ):
+        got = new_texts(spark, notations)
+        assert all(shape(got[i].text) == shape(old) and got[i].n_replaced == 1 for i, old in enumerate(notations))
+        assert len({re.sub(r"\D", "", r.text) for r in got.values()}) == 1
+        assert re.sub(r"\D", "", got[0].text) != re.sub(r"\D", "", notations[0])
