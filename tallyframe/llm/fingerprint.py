@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ BITS = 48
 #: documents of neighbouring ids that one window sees, and most windows
 BLOCK_ROWS = 1000
 MOST_BLOCKS = 20_000
+#: ids a block that its bounds are found from
+SAMPLED = 20
 
 _EMPTY = "array<bigint>"
 
@@ -100,13 +103,34 @@ def fingerprints(
     return sketched.withColumn("n_shingles", distinct_shingles(F.col("sketch"), k))
 
 
+def _in_blocks(texts: DataFrame) -> DataFrame:
+    """``texts`` with their block and text_hash. Blocks rise with the ids; those of null ids fall from -1 with the hash."""
+    ids = texts.select(F.col("doc_id").cast("long").alias("id"))
+    n, nulls = ids.agg(F.count("id"), F.count_if(F.col("id").isNull())).first()
+    blocks, null_blocks = (min(MOST_BLOCKS, max(1, -(-count // BLOCK_ROWS))) for count in (n, nulls))
+    every = max(1, n // (blocks * SAMPLED))
+    sample = ids.filter(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).filter("id IS NOT NULL")
+    sample = np.sort(sample.toArrow().column("id").to_numpy())
+    bounds = np.unique(sample[np.arange(1, blocks) * len(sample) // blocks]) if len(sample) else sample
+    # a block's number is how many bounds its ids reach, found by halving
+    listed = F.split(F.lit(",".join(map(str, bounds)) or "0"), ",").cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    reached = lambda at, step: F.get(listed, at + step - 1) <= F.col("doc_id").cast("long")
+    block = F.aggregate(steps, F.lit(0), lambda at, step: F.when(reached(at, step), at + step).otherwise(at))
+    block = block if len(bounds) else F.lit(0)
+    place = F.shiftright("text_hash", 40) + F.lit(1 << 23)
+    null_block = -1 - F.floor(place * null_blocks / F.lit(1 << 24)).cast("int")
+    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+    return hashed.withColumn("block", F.when(F.col("doc_id").isNull(), null_block).otherwise(block))
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with the one of the next smaller id; the last is followed by the first.
 
-    Ids are dealt to blocks of equal width, about a thousand documents each and 20,000 blocks at most. A window
+    Ids are dealt to blocks between quantiles, about a thousand documents each and 20,000 blocks at most. A window
     orders each block, and its last document takes the first one of the next block that has any: block
-    heads, one row per block, are all that is ordered in one place. Where ids are spread unevenly blocks are uneven;
-    that costs time on long sorts but changes nothing.
+    heads, one row per block, are all that is ordered in one place. The quantiles are those of a sample of ids, which
+    changes the sizes of blocks and nothing else. Rows that repeat one id share a block, null ids are dealt by text hash.
 
     Null ids come last. Rows that repeat an id are in order of a hash of their texts; equal rows are
     interchangeable.
@@ -114,12 +138,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Columns: doc_id, text, next_text.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    low, high, n = texts.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    blocks = min(MOST_BLOCKS, max(1, -(-n // BLOCK_ROWS)))
-    width = ((high - low) // blocks + 1) if low is not None else 1
-    distance = F.col("doc_id").cast("decimal(20,0)") - F.lit(low or 0).cast("decimal(20,0)")
-    block = F.coalesce(F.floor(distance / F.lit(width)).cast("int"), F.lit(-1))
-    rows = texts.withColumn("block", block).withColumn("text_hash", F.xxhash64("text"))
+    rows = _in_blocks(texts)
 
     first = F.struct("doc_id", F.bitwise_not("text_hash").alias("hash_down"))
     heads = rows.groupBy("block").agg(F.max(first).alias("head"))
