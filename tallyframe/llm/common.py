@@ -47,18 +47,20 @@ def join_ids(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner
     return left.join(other, condition, how).drop(*[f"_right_{c}" for c in on])
 
 
-#: column that tells apart rows of one id while decisions about them are applied
-TEXT_HASH = "_llm_text_hash"
+def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows as structs ``row`` beside their ``id`` and ``text_hash``, so that no column's name can clash.
 
-
-def with_text_hash(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    return docs.withColumn(TEXT_HASH, F.xxhash64(text_of(text_col)))
+    The hash tells apart rows of one id while decisions about them are applied.
+    """
+    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+    return docs.select(
+        row.alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text")
+    ).select("row", "id", F.xxhash64("text").alias("text_hash"))
 
 
-def keep_rows(hashed: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of a table with text hashes that have the id and hash of some row of ``kept`` (two columns)."""
-    keys = kept.toDF(id_col, TEXT_HASH)
-    return join_ids(hashed, keys, [id_col, TEXT_HASH], "left_semi").drop(TEXT_HASH)
+def keep_packed(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The packed rows that have the id and text hash of some row of ``kept`` (two columns), as they were."""
+    return join_ids(rows, kept.toDF("id", "text_hash"), ["id", "text_hash"], "left_semi").select("row.*")
 
 
 def keep_one_each(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -66,15 +68,14 @@ def keep_one_each(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id",
 
     Rows that repeat both id and text are one kept row: the one with the least values, column by column.
     """
-    hashed = with_text_hash(docs, text_col)
+    rows = packed(docs, id_col, text_col)
     kept = decisions.filter("kept").select("doc_id", "text_hash")
     repeats = decisions.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
     repeats = repeats.filter("kept AND n > 1").select("doc_id", "text_hash")
     if repeats.isEmpty():
-        return keep_rows(hashed, kept, id_col)
-    repeats = repeats.toDF(id_col, TEXT_HASH)
-    others = join_ids(hashed, repeats, [id_col, TEXT_HASH], "left_anti")
-    again = join_ids(hashed, repeats, [id_col, TEXT_HASH], "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = again.groupBy(id_col, TEXT_HASH).agg(F.min(row).alias("_llm_row")).select("_llm_row.*")
-    return keep_rows(others, kept, id_col).unionAll(again)
+        return keep_packed(rows, kept)
+    repeats = repeats.toDF("id", "text_hash")
+    others = join_ids(rows, repeats, ["id", "text_hash"], "left_anti")
+    again = join_ids(rows, repeats, ["id", "text_hash"], "left_semi")
+    again = again.groupBy("id", "text_hash").agg(F.min("row").alias("row")).select("row.*")
+    return keep_packed(others, kept).unionAll(again)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.arrow import Step, buffers, map_texts
-from tallyframe.llm.common import TEXT_HASH, checkpointed, keep_one_each, text_of, with_text_hash
+from tallyframe.llm.common import checkpointed, keep_one_each, text_of
 from tallyframe.llm.components import components
 from tallyframe.llm.words import mix, shingles, words
 
@@ -438,13 +438,14 @@ def drop_similar(
 
     Of a component's rows with that id the one of the smallest text hash stays. Texts without words all stay.
     """
-    hashed = with_text_hash(docs, text_col)
     # null ids come after all others
-    key = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), TEXT_HASH)
-    similar = similar_documents(hashed.select(key.alias("doc_id"), F.col(text_col).alias("text")), percent, size)
+    key = F.struct(
+        F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash")
+    )
+    similar = similar_documents(docs.select(key.alias("doc_id"), F.col(text_col).alias("text")), percent, size)
     decisions = similar.select(
         F.col("doc_id.id").alias("doc_id"),
-        F.col(f"doc_id.{TEXT_HASH}").alias("text_hash"),
+        F.col("doc_id.text_hash").alias("text_hash"),
         (F.col("doc_id") == F.col("component_id")).alias("kept"),
     )
     return keep_one_each(docs, checkpointed(decisions), id_col, text_col)

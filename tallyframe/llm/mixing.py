@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import WORD, checkpointed, join_ids, text_of
+from tallyframe.llm.common import WORD, checkpointed, join_ids, packed, text_of
 
 #: slices of the sampling order per source; the sample is cut inside one of them
 SLICES = 4096
@@ -145,23 +145,24 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     some and up for others.
     """
     mixed = mix(docs, id_col=id_col, text_col=text_col, **how)
-    per_text = mixed.groupBy("doc_id", "text_hash").agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
-    ).filter("_copies > 0").withColumnsRenamed({"doc_id": "_mix_id", "text_hash": "_mix_hash"})
-    joined = docs.join(
-        per_text,
-        docs[id_col].eqNullSafe(per_text["_mix_id"]) & (F.xxhash64(text_of(text_col)) == per_text["_mix_hash"]),
+    per_text = mixed.groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    per_text = per_text.filter("copies > 0").withColumnRenamed("doc_id", "id")
+    joined = join_ids(packed(docs, id_col, text_col), per_text, ["id", "text_hash"])
+    once = joined.filter("rows = 1").select("row", F.col("copies").alias("times"))
+    # repeats of one row are interchangeable: one row of each task stands for all of its repeats
+    again = joined.filter("rows > 1").groupBy("id", "text_hash", "row").agg(
+        F.count(F.lit(1)).alias("n"), F.min("copies").alias("copies"), F.min("rows").alias("rows")
     )
-    once = joined.filter("_rows = 1").withColumn("_times", F.col("_copies"))
-    again = joined.filter("_rows > 1")
-    nth = F.row_number().over(Window.partitionBy("_mix_id", "_mix_hash").orderBy("_mix_hash"))
-    again = again.withColumn(
-        "_times",
-        F.floor(F.col("_copies") / F.col("_rows")) + (nth <= F.col("_copies") % F.col("_rows")).cast("int"),
+    before = F.sum("n").over(
+        Window.partitionBy("id", "text_hash").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     )
+    again = again.withColumn("before", F.coalesce(before, F.lit(0)))
+    # the first copies % rows of an id and text's rows are taken once more than the others
+    more = F.greatest(F.least(F.col("n"), F.col("copies") % F.col("rows") - F.col("before")), F.lit(0))
+    again = again.select("row", (F.floor(F.col("copies") / F.col("rows")) * F.col("n") + more).alias("times"))
     return (
-        once.unionByName(again)
-        .filter("_times > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        once.unionAll(again)
+        .filter("times > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times").cast("long"))))
+        .select("row.*")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.arrow import Step, buffers, map_texts
-from tallyframe.llm.common import TEXT_HASH, keep_rows, text_of, with_text_hash
+from tallyframe.llm.common import checkpointed, keep_packed, packed, text_of
 from tallyframe.llm.words import words
 
 #: most labelled documents that a model is fitted on and broadcast with
@@ -157,9 +157,9 @@ def fit_quality(
     return fit(matrix.astype(np.float32), np.array(found.column("label").to_pylist(), np.float64))
 
 
-def _scored(model) -> Step:
+def _scored(model: NeighbourModel) -> Step:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = model.value.scores(features(*buffers(batch.column("text"))))
+        scores = model.scores(features(*buffers(batch.column("text"))))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return step
@@ -178,9 +178,10 @@ def score_quality(docs: DataFrame, model: NeighbourModel, id_col: str = "doc_id"
     Columns: doc_id, score.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast, unlike a task, does not bring the code of its classes
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
     schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, score double"
-    return map_texts(texts, lambda: _scored(sent), schema, step_rows=BLOCK_ROWS)
+    return map_texts(texts, lambda: _scored(NeighbourModel(**sent.value)), schema, step_rows=BLOCK_ROWS)
 
 
 def keep_good(
@@ -191,7 +192,7 @@ def keep_good(
     Rows that repeat an id are kept or dropped by their own text.
     """
     model = fit_quality(docs, labels, id_col=id_col, text_col=text_col)
-    hashed = with_text_hash(docs, text_col)
-    keyed = hashed.select(F.struct(F.col(id_col).alias("id"), TEXT_HASH).alias("doc_id"), F.col(text_col).alias("text"))
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"))
+    keyed = docs.select(key.alias("doc_id"), F.col(text_col).alias("text"))
     good = score_quality(keyed, model).filter(F.col("score") >= threshold)
-    return keep_rows(hashed, good.select("doc_id.id", f"doc_id.{TEXT_HASH}"), id_col)
+    return keep_packed(packed(docs, id_col, text_col), good.select("doc_id.*"))

@@ -13,14 +13,14 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     return con
 
 
 def test_all_are_registered():
     names = contract.queries()
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == []
     assert "pipeline" in names and set(queries.ORACLES) <= set(queries.QUERIES)
 
 
