@@ -17,6 +17,7 @@ from tallyframe.llm.exact_dedup import drop_exact_duplicates
 from tallyframe.llm.jaccard_join import drop_similar
 from tallyframe.llm.mixing import take_mix
 from tallyframe.llm.quality import keep_good
+from tallyframe.sources.folders import delete
 from tallyframe.sources.staging import staging_root
 
 #: the tokenizer file, at the same place on every machine
@@ -57,11 +58,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written to the shared folder and read again by the next."""
+    """All stages over ``documents``, each result written to the shared folder and read again by the next.
+
+    A stage's result is deleted when the next one is written; the last one's stays for the rows that are returned.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    root = f"{staging_root(spark)}/corpus-{uuid.uuid4().hex}"
+    root, before = f"{staging_root(spark)}/corpus-{uuid.uuid4().hex}", None
     for place, (name, stage) in enumerate(STAGES):
         path = f"{root}/{place}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs

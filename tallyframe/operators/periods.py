@@ -15,11 +15,13 @@ from tallyframe.functions.metrics import percent
 def as_periods(periods: str | Iterable[str] | None) -> list[str] | None:
     """One period or several as a sorted list of distinct six-digit codes; None stays None.
 
-    Anything else is an error: a mistyped period would otherwise give an empty report.
+    Anything else is an error, an empty list too: it would otherwise give an empty report.
     """
     if periods is None:
         return None
     found = sorted({periods} if isinstance(periods, str) else set(periods))
+    if not found:
+        raise ValueError("an empty list of periods; None means all")
     wrong = [p for p in found if not (isinstance(p, str) and re.fullmatch(r"[0-9]{6}", p))]
     if wrong:
         raise ValueError(f"periods are six digits, not {wrong}")
@@ -43,12 +45,18 @@ def distinct_periods(df: DataFrame, column: str = "time_period") -> DataFrame:
     return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
 
-def last_periods(df: DataFrame, n: int = 1, column: str = "time_period") -> DataFrame:
+def last_periods(
+    df: DataFrame, n: int = 1, column: str = "time_period", known: Iterable[str] | None = None
+) -> DataFrame:
     """Rows of the ``n`` latest periods present (the latest one by default).
 
-    The periods side has at most ``n`` rows whatever the data size, so broadcasting it is safe and lets
+    With the ``known`` periods of the table (``Bronze.periods`` lists them without reading it) the latest are a plain
+    filter, so of a table stored by period only their partitions are read. Without, they are found by reading
+    the column once more. That side has at most ``n`` rows whatever the data size, so broadcasting it is safe and lets
     Spark prune partitions dynamically.
     """
+    if known is not None:
+        return only_periods(df, sorted(set(known))[-n:] if n > 0 else [], column)
     latest = distinct_periods(df, column).orderBy(F.col(column).desc()).limit(n)
     return df.join(F.broadcast(latest), column, "left_semi")
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,6 +193,24 @@ def area_rows(geography: DataFrame, levels: Iterable[str], labels: Labels, *colu
     return labels.decode(renamed("geography", geography.filter(level), *columns))
 
 
+def unique_bridge(geography: DataFrame, labels: Labels = Labels()) -> DataFrame:
+    """Geography with an assertion in the plan: one row per authority and level.
+
+    A second one would count the authority's pupils twice. The query fails where it meets one at a level that it uses;
+    rows without an authority join nothing and may repeat.
+    """
+    # a level may have several codes, and they are one level to a report
+    level = labels.canonical(geography.withColumnRenamed("geographic_lvl", "geographic_level"), ["geographic_level"])
+    marked = level.withColumnRenamed("geographic_level", "__level").withColumn("geographic_lvl", F.col("__level"))
+    repeats = F.count(F.lit(1)).over(Window.partitionBy("la_new", "__level"))
+    told = F.concat(
+        F.lit("authority "), "la_new", F.lit(" is in the bridge more than once at level "),
+        F.coalesce("__level", F.lit("NULL")),
+    )
+    checked = F.when(F.col("la_new").isNull() | (repeats == 1), F.col("la_new")).otherwise(F.raise_error(told).cast("string"))
+    return marked.withColumn("la_new", checked).select(*geography.columns)
+
+
 # --- families -----------------------------------------------------------------
 
 
@@ -414,6 +432,7 @@ def build_report(
     filters: Mapping[str, str] | None = None,
     how: str = "inner",
     ordered: bool = False,
+    check_bridge: bool = False,
     codes: Mapping[str, Mapping[str, str]] = STANDARD_CODES,
     defaults: Mapping[str, str] = DEFAULT_LABELS,
     default: str | None = None,
@@ -425,7 +444,8 @@ def build_report(
     ``filters`` keeps the rows with the given labels (``{"sex": "Girls"}``); the labels are turned into filters on
     raw codes below the joins, as far as the join type allows. ``how="left"`` keeps pupils without a result or
     claim record. ``defaults`` has the label of unknown codes by column, ``default`` one for all columns.
-    ``ordered`` sorts the rows, which costs a range shuffle.
+    ``ordered`` sorts the rows, which costs a range shuffle. ``check_bridge`` makes the query fail where geography has
+    an authority more than once at a level, instead of counting its pupils as often.
     """
     report = REPORTS[name]
     filters = dict(filters or {})
@@ -433,6 +453,8 @@ def build_report(
     if unknown:
         raise ValueError(f"report {name} has no dimension {sorted(unknown)}")
     labels = Labels(codes, defaults, default)
+    if check_bridge:
+        bronze = bronze.with_tables(geography=unique_bridge(bronze.geography, labels))
     bronze = _filter_sources(bronze.for_periods(periods), report.family, filters, labels, how)
     wide = FAMILIES[report.family].wide(bronze, labels, how, **options)
     result = report.project(wide)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyframe.functions.codes import DEFAULT_LABELS, STANDARD_CODES
 from tallyframe.functions.decode import Labels
-from tallyframe.operators.periods import as_periods, distinct_periods
+from tallyframe.operators.periods import as_periods
 from tallyframe.plans.reports import (
     CLAIMED_COLUMNS,
     FAMILIES,
@@ -18,9 +17,9 @@ from tallyframe.plans.reports import (
     SCORED_COLUMNS,
     claimed_pupils,
     scored_pupils,
+    unique_bridge,
     with_claims,
 )
-from tallyframe.plans.silver import renamed
 from tallyframe.sources.bronze import Bronze
 from tallyframe.sources.sinks import write_csv, write_table, year_suffix
 from tallyframe.sources.staging import Stage, run_together
@@ -35,6 +34,7 @@ def staged_families(
     defaults: Mapping[str, str] = DEFAULT_LABELS,
     default: str | None = None,
     stage: Stage | None = None,
+    check_bridge: bool = False,
 ) -> dict[str, DataFrame]:
     """The four wide aggregates behind the seven reports, each computed once and staged as a table.
 
@@ -44,6 +44,8 @@ def staged_families(
     """
     stage = stage or Stage(spark)
     bronze, labels = bronze.for_periods(periods), Labels(codes, defaults, default)
+    if check_bridge:
+        bronze = bronze.with_tables(geography=unique_bridge(bronze.geography, labels))
     columns = dict.fromkeys((*CLAIMED_COLUMNS, *SCORED_COLUMNS))
     scored = stage.tables({"scored": scored_pupils(bronze, *columns, how=how)})["scored"]
     claimed = stage.tables({"claimed": with_claims(scored, bronze, how)})["claimed"]
@@ -61,12 +63,6 @@ def all_reports(
     return {name: report.project(wide[report.family]) for name, report in REPORTS.items()}
 
 
-def present_periods(bronze: Bronze) -> list[str]:
-    """Years of the pupil table: one short row per year reaches the driver."""
-    rows = distinct_periods(renamed("pupil", bronze.pupil, "time_period")).orderBy(F.col("time_period")).collect()
-    return [r["time_period"] for r in rows]
-
-
 def write_all_csv(
     spark: SparkSession,
     bronze: Bronze,
@@ -80,7 +76,7 @@ def write_all_csv(
     ``parts`` sets the number of CSV parts, for all reports or by report name. By default the sort
     decides: a report's parts, read in name order, are in report order.
     """
-    years = as_periods(periods) or present_periods(bronze)
+    years = as_periods(periods) or bronze.periods()
     suffix = year_suffix(years)
     paths = {name: f"{root}/{FILE_NAMES[name].format(years=suffix)}" for name in REPORTS}
 

@@ -1,0 +1,223 @@
+"""Periods from listings, yearly updates, checks of stored tables before they are read."""
+
+import glob
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe.operators.periods import as_periods, last_periods
+from tallyframe.plans.incremental import STATE, read_report, update_reports
+from tallyframe.plans.reports import REPORTS, build_report, unique_bridge
+from tallyframe.plans.run import all_reports, write_all_csv, write_all_tables
+from tallyframe.plans.spec import hash_sample
+from tallyframe.sources.bronze import (
+    SchemaDrift, bronze_from_catalog, bronze_from_parquet, schema_drift, write_bronze_parquet, write_bronze_tables,
+)
+from tallyframe.sources.schemas import PARTITIONED
+from tests.conftest import plan, rows
+from tests.test_reports import as_bronze, random_tables
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    return as_bronze(spark, random_tables(5, pupils=80))
+
+
+@pytest.fixture
+def root(source, tmp_path):
+    write_bronze_parquet(source, str(tmp_path / "bronze"))
+    return str(tmp_path / "bronze")
+
+
+def jobs_of(spark, work):
+    """What ``work`` gives, and how many jobs it started."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        return work(), len(context.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        context._jsc.clearJobGroup()
+
+
+def test_periods_of_stored_tables_start_no_job(spark, source, root):
+    spark.sql("CREATE DATABASE IF NOT EXISTS listed")
+    write_bronze_tables(source, schema="listed")
+    for stored in (bronze_from_parquet(spark, root), bronze_from_catalog(spark, "listed")):
+        for table in PARTITIONED:
+            assert jobs_of(spark, lambda s=stored, t=table: s.periods(t)) == (source.periods(table), 0)
+        latest = stored.for_periods(["202223", "202122"])
+        assert latest.periods() == ["202223"]
+        got, jobs = jobs_of(spark, lambda s=stored: last_periods(s.pupil, 1, "acad_year_code", s.periods()))
+        assert jobs == 0 and "Join" not in plan(got)
+        assert rows(got) == rows(last_periods(stored.pupil, 1, "acad_year_code").select(*got.columns))
+    # tables that are not stored by year, or not stored at all, are read
+    plain = stored.with_tables(pupil=stored.pupil.filter("acad_year_code = '202223'"))
+    assert plain.periods() == ["202223"] and plain.periods("results") == ["202223", "202324"]
+    school = bronze_from_parquet(spark, root).listed("school")
+    assert school is None
+
+
+def test_folders_without_files_are_no_periods(spark, root):
+    os.makedirs(f"{root}/pupil/acad_year_code=209900")
+    os.makedirs(f"{root}/pupil/acad_year_code=__HIVE_DEFAULT_PARTITION__")
+    assert bronze_from_parquet(spark, root).periods() == ["202223", "202324"]
+
+
+def test_no_periods_are_an_error(spark, source, tmp_path):
+    for call in (
+        lambda: as_periods([]), lambda: all_reports(spark, source, []), lambda: write_all_csv(spark, source, str(tmp_path), []),
+        lambda: write_all_tables(spark, source, schema="listed", periods=[]), lambda: build_report("national_pupil", source, periods=[]),
+    ):
+        with pytest.raises(ValueError, match="empty list"):
+            call()
+
+
+def check(spark, root, out):
+    bronze = bronze_from_parquet(spark, root)
+    for name in REPORTS:
+        stored = read_report(spark, out, name)
+        assert stored.columns == list(REPORTS[name].columns)
+        assert rows(stored) == rows(build_report(name, bronze)), name
+
+
+def spoil(folder):
+    """Files with the same names, sizes and times that can't be read any more."""
+    for file in glob.glob(f"{folder}/*.parquet"):
+        size, times = os.path.getsize(file), os.stat(file)
+        with open(file, "wb") as f:
+            f.write(b"?" * size)
+        os.utime(file, ns=(times.st_atime_ns, times.st_mtime_ns))
+        crc = f"{os.path.dirname(file)}/.{os.path.basename(file)}.crc"
+        if os.path.exists(crc):
+            os.remove(crc)
+
+
+def test_only_changed_years_are_made(spark, source, root, tmp_path):
+    out = str(tmp_path / "out")
+    assert update_reports(spark, root, out) == ["202223", "202324"]
+    check(spark, root, out)
+    assert update_reports(spark, root, out) == []
+
+    keep = str(tmp_path / "keep")
+    shutil.copytree(root, keep)
+    before = {n: rows(read_report(spark, out, n).filter("time_period = '202223'")) for n in REPORTS}
+    # one year gets other marks; the other year's files can not be read, so nothing but a listing may touch them
+    changed = source.results.filter("acad_year_code = '202324'").withColumn("pupil_mark", F.lit(7)).drop("acad_year_code")
+    changed.write.mode("overwrite").parquet(f"{root}/results/acad_year_code=202324")
+    for table in PARTITIONED:
+        spoil(f"{root}/{table}/acad_year_code=202223")
+    assert update_reports(spark, root, out) == ["202324"]
+    for name in REPORTS:
+        stored = read_report(spark, out, name)
+        assert rows(stored.filter("time_period = '202223'")) == before[name]
+        assert rows(stored.filter("time_period = '202324'")) == rows(
+            build_report(name, bronze_from_parquet(spark, root), periods="202324")
+        )
+
+
+def test_gone_and_emptied_years_and_shared_tables(spark, source, root, tmp_path):
+    out = str(tmp_path / "out")
+    update_reports(spark, root, out)
+    # a year without any result has no rows in any report
+    source.results.filter("acad_year_code = '202324'").limit(0).drop("acad_year_code").write.mode("overwrite").parquet(
+        f"{root}/results/acad_year_code=202324"
+    )
+    assert update_reports(spark, root, out) == ["202324"]
+    check(spark, root, out)
+    for table in PARTITIONED:
+        shutil.rmtree(f"{root}/{table}/acad_year_code=202223")
+    write_bronze_parquet({"results": source.results.filter("acad_year_code = '202324'")}, root)
+    assert update_reports(spark, root, out) == ["202324"]
+    check(spark, root, out)
+    assert {r.time_period for n in REPORTS for r in read_report(spark, out, n).select("time_period").distinct().collect()} == {"202324"}
+    write_bronze_parquet({"geography": source.geography.limit(1)}, root)
+    assert update_reports(spark, root, out) == ["202324"]
+    check(spark, root, out)
+    assert update_reports(spark, root, out, default="Total") == ["202324"]
+    assert update_reports(spark, root, out, how="left") == ["202324"]
+
+
+def test_a_failing_update_is_made_up_for(spark, root, tmp_path, monkeypatch):
+    from tallyframe.plans import incremental
+
+    out = str(tmp_path / "out")
+
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(incremental, "_overwrite", fail)
+    with pytest.raises(RuntimeError):
+        update_reports(spark, root, out)
+    monkeypatch.undo()
+    assert not os.path.exists(f"{out}/{STATE}")
+    assert update_reports(spark, root, out) == ["202223", "202324"]
+    check(spark, root, out)
+
+
+# --- declared schemas ---------------------------------------------------------
+
+
+def test_no_drift(spark, root):
+    assert schema_drift(spark, root) == []
+    assert bronze_from_parquet(spark, root, check=True).periods() == ["202223", "202324"]
+
+
+def test_every_kind_of_drift(spark, source, root):
+    year = source.pupil.filter("acad_year_code = '202324'").drop("acad_year_code")
+    year.drop("gender").write.mode("overwrite").parquet(f"{root}/pupil/acad_year_code=202324")
+    source.school.withColumn("school_id", F.lit(1)).write.mode("overwrite").parquet(f"{root}/school")
+    source.geography.withColumn("more", F.lit(1)).write.mode("overwrite").parquet(f"{root}/geography")
+    shutil.rmtree(f"{root}/claimcare")
+    marks = source.results.filter("acad_year_code = '202223'").drop("acad_year_code")
+    marks.withColumn("pupil_mark", F.col("pupil_mark").cast("string")).write.mode("append").parquet(
+        f"{root}/results/acad_year_code=202223"
+    )
+    found = schema_drift(spark, root)
+    assert found[:1] == ["claimcare: no files"]
+    assert found[1] == "pupil/acad_year_code=202324: no column gender"
+    assert found[2] == "results/acad_year_code=202223: files that differ in the type of a column"
+    assert found[3:] == ["school: column school_id is int, not string"]
+    with pytest.raises(SchemaDrift, match="no column gender") as e:
+        bronze_from_parquet(spark, root, check=True)
+    assert e.value.findings == found
+    assert sorted(schema_drift(spark, root, ["pupil", "geography"])) == ["pupil/acad_year_code=202324: no column gender"]
+
+
+# --- the bridge ---------------------------------------------------------------
+
+
+def test_bridge_assertion(spark, source):
+    twice = source.geography.unionAll(source.geography.limit(1))
+    doubled = source.with_tables(geography=twice)
+    for name in ("national_pupil", "regional_la_pupil"):
+        build_report(name, doubled).collect()  # off by default
+    with pytest.raises(Exception, match="more than once"):
+        unique_bridge(twice).collect()
+    clean = source.geography.filter("geographic_lvl IN ('NATIONAL', 'REGIONAL', 'LOCAL_AUTHORITY') AND la_new IS NOT NULL")
+    clean = spark.createDataFrame(clean.dropDuplicates(["la_new", "geographic_lvl"]).collect(), source.geography.schema)
+    bronze = source.with_tables(geography=clean)
+    for name in ("national_pupil", "regional_la_pupil"):
+        assert rows(build_report(name, bronze, check_bridge=True)) == rows(build_report(name, bronze))
+    nulls = clean.withColumn("la_new", F.lit(None).cast("string"))
+    assert unique_bridge(nulls).count() == clean.count() and unique_bridge(clean).columns == clean.columns
+    again = clean.unionAll(clean.filter("geographic_lvl = 'NATIONAL'"))
+    with pytest.raises(Exception, match="more than once"):
+        build_report("national_pupil", source.with_tables(geography=again), check_bridge=True).collect()
+    with pytest.raises(Exception, match="more than once"):
+        all_reports(spark, source.with_tables(geography=again), check_bridge=True)
+
+
+# --- samples ------------------------------------------------------------------
+
+
+def test_hash_sample_is_the_same_however_rows_are_dealt(spark):
+    df = spark.range(500).select("id", (F.col("id") % 7).cast("string").alias("s"), F.create_map(F.lit("k"), "id").alias("m"))
+    first = {r.id for r in hash_sample(df, 40).collect()}
+    assert len(first) == 40 and first != set(range(40))
+    for other in (df.repartition(9), df.orderBy(F.col("id").desc()), df.coalesce(1)):
+        assert {r.id for r in hash_sample(other, 40).collect()} == first
+    assert hash_sample(df, 1000).count() == 500 and hash_sample(df.limit(0), 5).count() == 0
+    repeated = spark.createDataFrame([(1,)] * 30, "a int")
+    assert hash_sample(repeated, 7).count() == 7

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from tallyframe.plans.reports import REPORTS, build_report
-from tallyframe.plans.run import all_reports, present_periods, write_all_csv, write_all_tables
+from tallyframe.plans.run import all_reports, write_all_csv, write_all_tables
 from tests.conftest import plan, rows
 from tests.test_reports import as_bronze, random_tables
 
@@ -15,7 +15,7 @@ def bronze(spark):
 
 
 def test_shared_run_gives_the_separate_reports(spark, bronze):
-    assert present_periods(bronze) == ["202223", "202324"]
+    assert bronze.periods() == ["202223", "202324"]
     for name, df in all_reports(spark, bronze).items():
         assert rows(df) == rows(build_report(name, bronze)), name
         assert "Join" not in plan(df) and "Aggregate" not in plan(df)
