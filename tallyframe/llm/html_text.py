@@ -56,13 +56,19 @@ DROPPED_NAMES |= frozenset(
     "navlinks sidemenu sidenav signupform sitefooter siteheader sitenav sitenavigation skiplink skipnav socialicons sociallinks "
     "socialmedia socialshare socialsharing subnav tagcloud taglist topmenu topnav widgetarea".split()
 )
+# parts of longer names that tell reader comments and adverts, and parts with which a name tells of a state instead
+TELLING_PARTS = frozenset("advert advertisement advertorial comment comments disqus sponsored".split())
+STATE_PARTS = frozenset("closed disabled enabled has hide no off on open show with without".split())
+#: names that stand for parts of the text inside an article
+KEPT_INSIDE = frozenset("disclaimer header notice notices warning".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 def _dropped_by(tag: str, attributes: dict[str, str | None], in_main: bool) -> str:
     """Why an element is left out: its tag (or role), hidden, its name, or empty if it is not.
 
-    Names are whole words of class and the whole id, without hyphens and underscores.
+    Names are whole words of class and the whole id, without hyphens and underscores; those of comments and adverts
+    may also be a part between these, unless another part says that the name is of a state (``has-comments``).
     """
     if tag in ("html", "body"):
         return ""
@@ -76,9 +82,12 @@ def _dropped_by(tag: str, attributes: dict[str, str | None], in_main: bool) -> s
         return ""
     if (attributes.get("role") or "").lower() in DROPPED_ROLES:
         return "tag"
-    words = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".lower().replace("-", "").replace("_", "")
-    names = DROPPED_NAMES.intersection(words.split())
-    return "name" if names - {"header"} or names and not in_main else ""
+    words = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".lower()
+    names = DROPPED_NAMES.intersection(words.replace("-", "").replace("_", "").split())
+    if names - KEPT_INSIDE or names and not in_main:
+        return "name"
+    parts = [set(re.split("[-_]+", word)) for word in words.split()]
+    return "name" if any(p & TELLING_PARTS and not p & STATE_PARTS for p in parts) else ""
 
 
 class Drop:
@@ -95,27 +104,32 @@ class Drop:
 
 
 class Region:
-    """A section-like element: its cluster, and the clusters of the regions in it by tag and class."""
+    """A section-like element: its cluster, and the clusters of the regions in it by tag and class.
+
+    ``box`` is the tag and class of the innermost element around it with a class, inside an article or main element.
+    """
 
-    __slots__ = ("tag", "cluster", "last", "inner")
+    __slots__ = ("tag", "cluster", "last", "inner", "box")
 
-    def __init__(self, tag: str, cluster: int) -> None:
-        self.tag, self.cluster, self.last, self.inner = tag, cluster, None, {}
+    def __init__(self, tag: str, cluster: int, box: tuple[str, str] | None = None) -> None:
+        self.tag, self.cluster, self.last, self.inner, self.box = tag, cluster, None, {}, box
 
 
 class LineReader(HTMLParser):
     """Lines of a page, from the parser's events as they come.
 
     A line ends where a block element begins or ends. Each has its text, the number of tags on it, the characters in
-    links, the cluster of its region (the innermost open section-like element), whether it lies in the article or
-    main element, and whether it is an h1. Neighbours of one parent with the same tag and class are one cluster, and so are regions at the same
+    links, the cluster of its region (the innermost open section-like element), its box (see ``Region``), whether it
+    lies in the article or main element, and whether it is an h1. Neighbours of one parent with the same tag and class are one cluster, and so are regions at the same
     place in these. A list or table without a class belongs to the text around it.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool, bool]] = []
-        self._all: list[tuple[tuple[str, int, int, int, bool, bool], int, Drop]] = []
+        self.lines: list[tuple] = []
+        self._all: list[tuple[tuple, int, Drop]] = []
+        self.boxes = Counter()
+        self._ended = False
         self._text: list[str] = []
         self._tags = self._linked = self._links = self._main = 0
         # open section-like or dropped elements with what is around each, and how many there are of each tag
@@ -128,7 +142,8 @@ class LineReader(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            line = (text, self._tags, self._linked, self._region.cluster, self._main > 0, self._title)
+            region = self._region
+            line = (text, self._tags, self._linked, region.cluster, region.box, self._main > 0, self._title)
             self._all.append((line, self._main, self._drop))
             self._tags = 0
         self._text, self._linked = [], 0
@@ -156,7 +171,11 @@ class LineReader(HTMLParser):
             else:
                 around.inner[key] = self._series[first]
             around.last = key
-        self._region = Region(tag, around.inner[key])
+        box = around.box
+        if name and self._main and tag not in MAIN and tag not in FLOW:
+            box = key
+            self.boxes[key] += 1
+        self._region = Region(tag, around.inner[key], box if tag not in MAIN else None)
 
     def _leave(self, tag: str) -> bool:
         """Close the innermost open element of this tag, and those in it that were never closed; whether one was dropped."""
@@ -219,6 +238,11 @@ class LineReader(HTMLParser):
         if self._links:
             self._linked += len(data.strip())
 
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """A comment that is never closed takes the rest of the page with it."""
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 and self._ended else end
+
     def _limits(self) -> None:
         """Up to how many open article or main elements lines are left out; what was never closed ends at the next one."""
         for drop in self._drops[1:]:
@@ -232,6 +256,7 @@ class LineReader(HTMLParser):
         If no article or main element is among them, an element is not dropped by its name if it holds most of the text,
         and not as hidden if it holds an article or main besides.
         """
+        self._ended = True
         super().close()
         self._end_line()
         self._limits()
@@ -263,30 +288,40 @@ def main_text(html: str) -> str:
     """The article's text, its blocks joined by single spaces.
 
     Clusters of regions whose smoothed text-to-tag ratio, the mean over their characters, reaches the threshold, the
-    standard deviation of all lines, are content; their short lines come with them. If some of the content lies in an
-    article or main element, only what lies there counts, with its h1. Lists of links need the threshold themselves.
+    standard deviation of all lines, are content; their short lines come with them, but lists of links need the
+    threshold themselves. If some of the content lies in an article or main element, only what lies there counts, and
+    there less is left out: its lines all stay but for those in elements with a class of their own whose ratio, the
+    mean over all elements of that tag and class, is below the threshold before or after the smoothing, and which come
+    more than once (teasers, adverts) or are links.
     """
-    cut = html.rfind("<")
-    if cut > html.rfind(">") and re.match(r"[A-Za-z/!?]", html[cut + 1 : cut + 2]):
-        html = html[:cut]  # a tag that the end of the page cuts off
+    last = html.rfind(">") + 1
+    cut = re.compile("<[A-Za-z/!?]").search(html, last)
     reader = LineReader()
-    reader.feed(html)
+    reader.feed(html[: cut.start()] if cut else html)  # without a tag that the end of the page cuts off
     reader.close()
     lines = reader.lines
     if not lines:
         return ""
     sizes = np.array([len(t) for t, *_ in lines], float)
-    ratios = smoothed(sizes / np.array([max(1, tags) for _, tags, *_ in lines]))
-    clusters = np.array([cluster for *_, cluster, _, _ in lines])
-    inside = np.array([in_main for *_, in_main, _ in lines])
-    titles = np.array([title for *_, title in lines])
+    own = sizes / np.array([max(1, tags) for _, tags, *_ in lines])
+    ratios = smoothed(own)
+    clusters = np.array([line[3] for line in lines])
+    inside = np.array([line[5] for line in lines])
+    titles = np.array([line[6] for line in lines])
     linked = np.array([n for _, _, n, *_ in lines]) > LINK_SHARE * sizes
     threshold = float(np.std(ratios))
     means = np.bincount(clusters, ratios * sizes) / np.maximum(1, np.bincount(clusters, sizes))
     content = (means >= min(threshold, means.max()))[clusters] & (~linked | (ratios >= threshold))
     if (content & inside).any():
-        content = (content | titles) & inside
-    return " ".join(t for (t, *_), kept in zip(lines, content, strict=True) if kept)
+        numbers = {box: i for i, box in enumerate(dict.fromkeys(line[4] for line in lines))}
+        boxes = np.array([numbers[line[4]] for line in lines])
+        # a box of a line or two gets its neighbours' ratio from the smoothing, so its own counts as well
+        low = np.bincount(boxes, np.minimum(own, ratios) * sizes) / np.maximum(1, np.bincount(boxes, sizes)) < threshold
+        repeated = np.array([reader.boxes[box] > 1 for box in numbers])
+        boxed = np.array([box is not None for box in numbers])
+        aside = (low & boxed)[boxes] & (repeated[boxes] | linked)
+        content = inside & (titles | ~aside)
+    return " ".join(line[0] for line, kept in zip(lines, content, strict=True) if kept)
 
 
 def _extracted() -> Step:

@@ -69,3 +69,49 @@ def test_dropped_by_name(html, text):
 
 def test_many_open_drops():
     assert main_text('<nav>x<div class="ad">y' * 20_000 + "<main>" + LONG + "</div></p>" * 20_000) == LONG
+
+
+ARTICLE = f"<article><h1>T</h1><p>{LONG}</p>%s<p>{LONG}</p><p>{LONG}</p>%s</article>"
+
+
+@pytest.mark.parametrize(
+    ("middle", "end", "text"),
+    [
+        ('<table class="data"><tr><td>1<td>2</tr><tr><td>3<td>4</tr></table>', "", "1 2 3 4"),
+        ('<ol class="steps"><li>Cut<li>Fold<li>Glue</ol>', "", "Cut Fold Glue"),
+        ('<p class="warning">Hot!</p>', "", "Hot!"),
+        ('<header><p class="subtitle">Sub</p><p class="dek">Dek</p></header>', "", "Sub Dek"),
+        ('<ul><li><a href="#">one</a></li><li><a href="#">two</a></li><li>three</li></ul>', "", "one two three"),
+        ("", '<div class="note"><p>By</p><p>the</p><p>way</p></div>', "By the way"),
+        ('<div class="post-comments"><p>I like it</p></div>', "", ""),
+        ("", '<div class="comments__list"><p>I like it</p></div>', ""),
+        ("", f'<section class="reader-comments"><p>{LONG}</p></section>', ""),
+        ('<div class="mc-box">Buy now</div>', '<div class="mc-box">Buy this</div>', ""),
+        (BOX, BOX.replace("cheap", "soon"), ""),
+        ("", '<div class="more"><p><a href="#">Other page</a></p><p><a href="#">Next page</a></p></div>', ""),
+    ],
+)
+def test_parts_of_an_article(middle, end, text):
+    want = f"T {LONG} {text} {LONG} {LONG}" if middle else f"T {LONG} {LONG} {LONG} {text}"
+    assert main_text(ARTICLE % (middle, end)) == " ".join(want.split())
+
+
+@pytest.mark.parametrize("name", ["no-comments", "has-comments", "comments-open", "post-with-comments", "recommended-by-none-at-all"])
+def test_names_of_states(name):
+    assert main_text(f'<div class="{name}"><article><p>{LONG}</p></article></div>') == LONG
+
+
+def test_wrapped_paragraphs_stay():
+    page = f'<article><div class="par">{LONG}</div><p>{LONG}</p><div class="par">Short.</div><p>{LONG}</p></article>'
+    assert main_text(page) == f"{LONG} {LONG} Short. {LONG}"
+
+
+@pytest.mark.parametrize("part", ["<!--", "<!-- a ", "<a title='", "<!", "</", "<![CDATA[", "<?", "<p ", "<!-- <p>", "<"])
+def test_what_is_never_closed_takes_no_time(part):
+    import time
+
+    start = time.perf_counter()
+    assert main_text(f"<p>{LONG}</p>" + part * (1_000_000 // len(part))).startswith(LONG)
+    assert main_text(f"<p>{LONG}</p><!-- --> " + part * 1000 + "<p>").startswith(LONG)
+    assert time.perf_counter() - start < 5
+    assert main_text(f"<script>'<!--'</script><article><p>{LONG}</p></article>") == LONG
