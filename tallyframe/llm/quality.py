@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,8 @@ NEIGHBOURS = 15
 SHARPNESS = 32
 #: documents whose products with all labelled vectors are held at once
 BLOCK_ROWS = 512
+#: tasks that the labelled rows of a fit are added up in, and rounds of the decomposition
+FIT_TASKS, ROUNDS = 8, 5
 SEED = 7
 _PIECE = 1 << 20
 
@@ -99,23 +102,6 @@ class NeighbourModel:
         return np.where(total > 0, np.clip(votes, 0, 1), self.labels.mean())
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, latent: int = LATENT) -> NeighbourModel:
-    """Latent semantic analysis of the labelled rows: idf weights, then a truncated singular value decomposition."""
-    if not len(rows):
-        return NeighbourModel(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1)), labels)
-    idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
-    weighted = rows * idf
-    random = np.random.default_rng(SEED)
-    size = min(latent + 16, *weighted.shape)
-    span = random.standard_normal((weighted.shape[1], size)).astype(np.float32)
-    for _ in range(5):
-        left, _ = np.linalg.qr(weighted @ span)
-        span, _ = np.linalg.qr(weighted.T @ left)
-    _, _, right = np.linalg.svd(weighted @ span, full_matrices=False)
-    basis = (span @ right.T)[:, :latent].astype(np.float32)
-    return NeighbourModel(idf, basis, _unit(weighted @ basis), labels.astype(np.float64))
-
-
 def held_out(id_col: str | Column) -> Column:
     """Rows whose labels no model sees: crc32 of the id as text divides by 5."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col
@@ -133,6 +119,45 @@ def _featured() -> Step:
     return step
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for at in range(0, len(batch), BLOCK_ROWS):
+            raw = b"".join(batch.column("features").slice(at, BLOCK_ROWS).to_pylist())
+            yield np.frombuffer(raw, np.float16).reshape(-1, FEATURES).astype(np.float32)
+
+
+def _summed(rows: DataFrame, part: Callable[[np.ndarray], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
+    """The sum of ``part`` over all blocks of feature rows, added up in the tasks first; one array per task arrives."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape, np.float32)
+        for block in _blocks(batches):
+            total += part(block)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
+
+    out = np.zeros(shape)
+    for total in rows.select("features").mapInArrow(run, "total binary").toArrow().column("total"):
+        out += np.frombuffer(total.as_py(), np.float32).reshape(shape)
+    return out
+
+
+def _projected(rows: DataFrame, weights: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All weighted feature rows times ``span``, in order of their ids, and their labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = [(block * weights) @ span for block in _blocks(iter([batch]))]
+            raw = [r.astype(np.float32).tobytes() for block in places for r in block]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("label"), pa.array(raw, pa.binary())], ["doc_id", "label", "place"]
+            )
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.mapInArrow(run, f"doc_id {id_type}, label int, place binary").orderBy("doc_id").toArrow()
+    matrix = np.frombuffer(b"".join(found.column("place").to_pylist()), np.float32).reshape(-1, span.shape[1])
+    return matrix, np.array(found.column("label").to_pylist(), np.float64)
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -140,9 +165,14 @@ def fit_quality(
     most: int = LABELLED,
     id_col: str = "doc_id",
     text_col: str = "text",
+    latent: int = LATENT,
 ) -> NeighbourModel:
     """Fit on at most ``most`` labelled documents, those of the smallest hashed ids that are not held out.
 
+    Latent semantic analysis: idf weights, then a truncated singular value decomposition of the weighted rows A. The
+    rows are stored once and stay with the tasks, which give A'(A x) for a few vectors x at a time (subspace
+    iteration); the driver sees as many columns as the space has, and some more.
+
     Null labels and ids teach nothing; of several labels for one id the smallest counts.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
@@ -150,11 +180,28 @@ def fit_quality(
     known = known.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.min("label").alias("label")).join(texts, "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, features binary"
-    found = map_texts(rows, _featured, schema, step_rows=BLOCK_ROWS).orderBy("doc_id").toArrow()
-    matrix = np.frombuffer(b"".join(found.column("features").to_pylist()), np.float16).reshape(-1, FEATURES)
-    return fit(matrix.astype(np.float32), np.array(found.column("label").to_pylist(), np.float64))
+    rows = checkpointed(map_texts(rows, _featured, schema, step_rows=BLOCK_ROWS)).coalesce(FIT_TASKS)
+
+    ones = np.ones((FEATURES, 1), np.float32)
+    n = rows.count()
+    if not n:
+        return NeighbourModel(ones[:, 0], 0 * ones, np.zeros((0, 1), np.float32), np.zeros(0))
+    have = _summed(rows, lambda block: (block > 0).sum(axis=0), (FEATURES,))
+    weights = (np.log((1 + n) / (1 + have)) + 1).astype(np.float32)
+    size = min(latent + 16, n, FEATURES)
+    span = np.random.default_rng(SEED).standard_normal((FEATURES, size)).astype(np.float32)
+    for _ in range(ROUNDS):
+
+        def product(block: np.ndarray, span: np.ndarray = span) -> np.ndarray:
+            block *= weights
+            return block.T @ (block @ span)
+
+        span = np.linalg.qr(_summed(rows, product, span.shape))[0].astype(np.float32)
+    places, known_labels = _projected(rows, weights, span)
+    right = np.linalg.svd(places.astype(np.float64), full_matrices=False)[2].T[:, :latent].astype(np.float32)
+    return NeighbourModel(weights, span @ right, _unit(places @ right), known_labels)
 
 
 def _scored(model: NeighbourModel) -> Step:
