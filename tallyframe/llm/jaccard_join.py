@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.arrow import Step, buffers, map_texts
-from tallyframe.llm.common import checkpointed, keep_one_each, text_of
+from tallyframe.llm.common import Steps, checkpointed, keep_one_each, text_of
 from tallyframe.llm.components import components
 from tallyframe.llm.words import mix, shingles, words
 
@@ -24,6 +24,8 @@ FILTER_BITS = 1 << 26
 COMMON, SAMPLE, MOST_COMMON = 256, 16, 1 << 22
 #: larger buckets are compared by bit sketches, in tiles of so many sets
 SMALL_BUCKET, TILE = 12, 512
+#: buckets of so many classes by a count on every HOT_SAMPLEth class are looked through by many tasks
+HOT, HOT_SAMPLE = 16_384, 64
 #: text bytes that a step sees at once
 STEP = 1 << 20
 
@@ -139,12 +141,15 @@ def _describe(size: int, bands: Bands) -> Step:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         values, counts, _, digests = _sets(batch, size)
         keys, shown = first_keys(values, counts, bands)
+        slots = _slots(digests)
+        sampled = np.where(slots % SAMPLE == 0, counts, 0)
+        members = values[np.repeat(sampled > 0, counts)]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(_slots(digests)),
-                pa.array(counts.astype(np.int64)), _lists([keys], [shown]),
+                batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(slots),
+                pa.array(counts.astype(np.int64)), _lists([keys], [shown]), _lists([members], [sampled]),
             ],
-            ["doc_id", "digest", "slot", "n_shingles", "keys"],
+            ["doc_id", "digest", "slot", "n_shingles", "keys", "sample"],
         )
 
     return step
@@ -226,21 +231,19 @@ def _bitmap(numbers: DataFrame, count: int) -> bytes:
     return out.tobytes()
 
 
-def _sets_of(texts: DataFrame, size: int, needed: bytes) -> DataFrame:
-    """The distinct sets whose digest's slot is in the bitmap: digest, members."""
-    sent = texts.sparkSession.sparkContext.broadcast(needed)
+def _sets_of(texts: DataFrame, size: int, sent) -> DataFrame:
+    """The distinct sets whose digest's slot is in the bitmap that was sent: digest, members."""
     found = map_texts(texts, lambda: _some_sets(size, sent), "digest binary, members array<long>", step_bytes=STEP)
     return found.groupBy("digest").agg(F.first("members").alias("members"))
 
 
-def _common_shingles(texts: DataFrame, size: int) -> bytes:
-    """A bitmap of shingles that very many sets have, counted on a fixed share of all sets.
+def _common_shingles(classes: DataFrame) -> bytes:
+    """A bitmap of shingles that very many sets have, counted on a fixed share of all sets, those that have a sample.
 
     Which shingles are common only decides how many sets meet in a block. So they can be taken from
     a sample, and others with the same bit may count as common. The threshold rises until at most MOST_COMMON are left.
     """
-    every = np.packbits(np.arange(64) % SAMPLE == 0, bitorder="little").tobytes()
-    sampled = _sets_of(texts, size, every).select(F.explode("members").alias("shingle"))
+    sampled = classes.select(F.explode("sample").alias("shingle"))
     counts = checkpointed(sampled.groupBy("shingle").count().filter(F.col("count") >= COMMON // SAMPLE))
     steps = F.floor(F.log2(F.col("count"))).cast("int")
     above, threshold = 0, COMMON // SAMPLE
@@ -253,39 +256,67 @@ def _common_shingles(texts: DataFrame, size: int) -> bytes:
     return _bitmap(common, common.count())
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _links(steps: Steps, pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of class numbers whose sets are similar enough."""
-    pairs = checkpointed(pairs.distinct())
+    pairs = steps.stored(pairs.distinct())
     wanted = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
-    wanted = checkpointed(classes.select("cid", "digest", "slot").join(wanted, "cid", "left_semi"))
-    needed = _bitmap(wanted.select("slot"), wanted.count())
-    sets = checkpointed(wanted.join(_sets_of(texts, size, needed), "digest").select("cid", "members"))
+    wanted = steps.stored(classes.select("cid", "digest", "slot").join(wanted, "cid", "left_semi"))
+    sent = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted.select("slot"), wanted.count()))
+    sets = steps.stored(wanted.join(_sets_of(texts, size, sent), "digest").select("cid", "members"))
+    sent.destroy()
     with_b = pairs.join(sets.select(F.col("cid").alias("b"), F.col("members").alias("set_b")), "b")
     with_a = with_b.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("set_a")), "a")
     both = F.size(F.array_intersect("set_a", "set_b"))
     measured = with_a.select("a", "b", both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sizes"))
-    linked = measured.filter(F.col("both") * 100 >= percent * (F.col("sizes") - F.col("both")))
-    return checkpointed(linked.select("a", "b"))
+    linked = steps.stored(
+        measured.filter(F.col("both") * 100 >= percent * (F.col("sizes") - F.col("both"))).select("a", "b")
+    )
+    steps.remove(pairs, wanted, sets)
+    return linked
 
 
-def _star_pairs(rows: DataFrame) -> DataFrame:
-    """In every bucket the pairs of its best-connected class with the others. ``rows``: key, cid, group."""
-    bucket = Window.partitionBy("key")
-    shared = rows.withColumn("more", F.count(F.lit(1)).over(bucket) - 1).filter("more > 0")
-    shared = checkpointed(shared)
+def _hot_buckets(rows: DataFrame) -> DataFrame:
+    """Keys of buckets that very many classes share, as a sample of classes tells: key.
+
+    Which they are decides only by how many tasks a bucket is looked through.
+    """
+    sampled = rows.filter(F.pmod(F.xxhash64("cid"), F.lit(HOT_SAMPLE)) == 0)
+    return sampled.groupBy("key").count().filter(F.col("count") >= HOT // HOT_SAMPLE).select("key")
+
+
+def _star_pairs(steps: Steps, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """In every bucket the pairs of its best-connected class with the others, and the stored rows that they are made of.
+
+    ``rows``: key, cid, group. Buckets are counted in the tasks first and joined back, so that one of very many
+    classes is no single task.
+    """
+    sizes = rows.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("more")).filter("more > 0")
+    shared = steps.stored(rows.join(sizes, "key"))
     degrees = shared.groupBy("cid").agg(F.sum("more").alias("degree"))
     ranked = shared.join(degrees, "cid")
     centers = ranked.groupBy("key").agg(F.max(F.struct("degree", "cid", "group")).alias("center"))
     met = shared.join(centers, "key").filter(F.col("group") != F.col("center.group"))
-    return met.select(F.col("center.cid").alias("a"), F.col("cid").alias("b"))
+    return met.select(F.col("center.cid").alias("a"), F.col("cid").alias("b")), shared
+
 
+def _across(steps: Steps, rows: DataFrame) -> DataFrame:
+    """The rows of buckets in which different groups meet, with the number of rows of their bucket.
 
-def _across(rows: DataFrame) -> DataFrame:
-    """The rows of buckets in which different groups meet."""
+    Most buckets have one row or a few: these are looked through where they are, by windows after one shuffle. The
+    few of very many classes are counted in the tasks first, and their rows joined with those counts.
+    """
+    hot = steps.stored(_hot_buckets(rows))
     bucket = Window.partitionBy("key")
-    least, most = F.min("group").over(bucket), F.max("group").over(bucket)
-    met = rows.withColumn("least", least).withColumn("most", most).filter("least != most")
-    return checkpointed(met.select("key", "cid", "group"))
+    told = {
+        "n_rows": F.count(F.lit(1)).over(bucket), "least": F.min("group").over(bucket), "most": F.max("group").over(bucket),
+    }
+    met = rows.join(hot, "key", "left_anti").withColumns(told)
+    crowded = rows.join(hot, "key", "left_semi")
+    counted = crowded.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("group").alias("least"), F.max("group").alias("most")
+    )
+    every = met.unionByName(crowded.join(counted, "key")) if not hot.isEmpty() else rows.withColumns(told)
+    return steps.stored(every.filter("least != most").select("key", "cid", "group", "n_rows"))
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
@@ -328,14 +359,13 @@ def _compared(percent: int):
     return run
 
 
-def _near_pairs(rows: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _near_pairs(rows: DataFrame, wanted: DataFrame, needed, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs of different groups in large buckets whose sketches' Hamming distance admits a link.
 
     A bucket is dealt to tiles of about TILE sets, and every pair of tiles compares its sketches where it is; only
-    pairs that are near enough come out. ``rows``: key, cid, group, n_rows.
+    pairs that are near enough come out. ``rows``: key, cid, group, n_rows; ``wanted``: cid, digest of their classes,
+    whose slots are in the bitmap ``needed``.
     """
-    wanted = checkpointed(classes.join(rows.select("cid").distinct(), "cid", "left_semi").select("cid", "digest", "slot"))
-    needed = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted.select("slot"), wanted.count()))
     schema = "digest binary, n_shingles long, sketch binary"
     found = map_texts(texts, lambda: _some_sketches(size, needed), schema, step_bytes=STEP)
     found = found.groupBy("digest", "n_shingles").agg(F.first("sketch").alias("sketch"))
@@ -382,40 +412,51 @@ def similar_documents(
     spark, bands = docs.sparkSession, Bands(percent)
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, digest binary, slot long, n_shingles long, keys array<long>"
+    schema = f"doc_id {id_type}, digest binary, slot long, n_shingles long, keys array<long>, sample array<long>"
     described = map_texts(texts, lambda: _describe(size, bands), schema, step_bytes=STEP)
-    described = checkpointed(described.withColumn("run", F.spark_partition_id()))
+    steps = Steps(spark)
+    described = steps.stored(described.withColumn("run", F.spark_partition_id()))
     # the run deals a class of very many documents over tasks, here and on the way back
     local = described.groupBy("run", "digest", "n_shingles").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"), F.min(F.struct("slot", "keys")).alias("shown")
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"),
+        F.first(F.struct("slot", "keys", "sample")).alias("shown"),
     )
     classes = local.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.sum("n").alias("class_size"), F.min("shown").alias("shown"),
+        F.min("doc_id").alias("doc_id"), F.sum("n").alias("class_size"), F.first("shown").alias("shown"),
         F.max("n_shingles").alias("n_shingles"),
     )
-    classes = checkpointed(
+    classes = steps.stored(
         classes.select(
             "digest", "doc_id", "class_size", "n_shingles", "shown.*", F.monotonically_increasing_id().alias("cid")
         )
     )
     first = classes.select("cid", F.col("cid").alias("group"), F.explode("keys").alias("key"))
     only_texts = texts.select("text")
-    easy = _links(_star_pairs(first), classes, only_texts, size, percent)
+    pairs, shared = _star_pairs(steps, first)
+    easy = _links(steps, pairs, classes, only_texts, size, percent)
+    steps.remove(shared)
     groups = components(easy)
 
     numbered = classes.filter("n_shingles > 0").select("digest", "cid").join(
         groups.withColumnRenamed("node", "cid"), "cid", "left"
     ).select("digest", "cid", F.coalesce("root", "cid").alias("group"))
-    common = spark.sparkContext.broadcast(_common_shingles(only_texts, size))
+    common = spark.sparkContext.broadcast(_common_shingles(classes))
     schema = "digest binary, keys array<long>"
     shown = map_texts(only_texts, lambda: _show_all(size, bands, common), schema, step_bytes=STEP)
     shown = shown.groupBy("digest").agg(F.first("keys").alias("keys")).join(numbered, "digest")
-    rows = _across(shown.select("cid", "group", F.explode("keys").alias("key")))
-    sized = rows.withColumn("n_rows", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    sized = checkpointed(sized)
+    shown = steps.stored(shown.select("cid", "group", "keys"))
+    common.destroy()
+    sized = _across(steps, shown.select("cid", "group", F.explode("keys").alias("key")))
+    steps.remove(shown)
     small = _cross_pairs(sized.filter(F.col("n_rows") <= SMALL_BUCKET).drop("n_rows"))
-    large = _near_pairs(sized.filter(F.col("n_rows") > SMALL_BUCKET), classes, only_texts, size, percent)
-    links = easy.unionAll(_links(small.unionAll(large), classes, only_texts, size, percent))
+    crowded = sized.filter(F.col("n_rows") > SMALL_BUCKET)
+    wanted = classes.join(crowded.select("cid").distinct(), "cid", "left_semi").select("cid", "digest", "slot")
+    wanted = steps.stored(wanted)
+    needed = spark.sparkContext.broadcast(_bitmap(wanted.select("slot"), wanted.count()))
+    large = _near_pairs(crowded, wanted, needed, only_texts, size, percent)
+    links = easy.unionAll(_links(steps, small.unionAll(large), classes, only_texts, size, percent))
+    needed.destroy()
+    steps.remove(sized, wanted)
 
     roots = components(links).withColumnRenamed("node", "cid")
     rooted = classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

@@ -90,8 +90,9 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndar
         there = left[at] > k
         value[there] = mix(value[there] * np.uint64(_MULTIPLIER) + hashes[at[there] + k])
     of = of[at]
-    order = np.lexsort((value, of))
-    value, of = value[order], of[order]
+    ends = np.cumsum(np.bincount(of, minlength=n))
+    for begin, end in zip((ends - np.bincount(of, minlength=n)).tolist(), ends.tolist()):
+        value[begin:end].sort()
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (of[1:] != of[:-1])
     return value[new], np.bincount(of[new], minlength=n)

@@ -86,6 +86,9 @@ def test_every_path_is_complete(spark, corpus, monkeypatch, first, common, small
     monkeypatch.setattr(jj, "SAMPLE", 1 if common < 1 << 40 else 16)
     monkeypatch.setattr(jj, "SMALL_BUCKET", small)
     monkeypatch.setattr(jj, "TILE", tile)
+    if small == 2:  # most buckets count as hot
+        monkeypatch.setattr(jj, "HOT", 4)
+        monkeypatch.setattr(jj, "HOT_SAMPLE", 2)
     docs = spark.createDataFrame(corpus, "doc_id long, text string").repartition(3)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jj.similar_documents(docs, 85, 4).collect()]
     assert sorted(got, key=repr) == brute(corpus, 85, 4)
@@ -114,12 +117,15 @@ def test_linked_sets_always_share_a_key():
 def test_repeats_nulls_and_other_columns(spark):
     t = " ".join(f"w{i}" for i in range(40))
     rows = [(1, t, "x"), (1, t, "x"), (None, t + " end", "y"), (3, None, "z"), (3, "", "z"), (7, t + " END", "k"), (5, "q r", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    names = ["digest", "row", "id", "text_hash", "unnamed", "kept", "_llm_text_hash", "_right_doc_id", "_llm_row", "n"]
+    rows = [(i, t, *[None if v is None else f"{v}{n}" for n in names]) for i, t, v in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
     got = sorted((tuple(r)[:3] for r in jj.similar_documents(docs, 80, 5).collect()), key=repr)
     assert got == brute([r[:2] for r in rows], 80, 5)
     kept = jj.drop_similar(docs, 80, 5)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.filter("text != ''").collect()) == [1, 5]
+    assert all(tuple(r) in set(rows) for r in kept.collect())
     assert kept.filter("coalesce(text, '') = ''").count() == 1  # one id and text
     assert jj.similar_documents(docs.limit(0)).collect() == [] and jj.drop_similar(docs.limit(0)).collect() == []
 
