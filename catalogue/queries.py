@@ -39,14 +39,22 @@ from tallyframe.operators.periods import (
     union_periods,
 )
 from tallyframe.operators.shape import rename, round_columns, select_fixed, with_constants, with_time
-from tallyframe.plans.reports import REGIONAL_AND_LA, REPORTS, area_rows, build_report, scored_pupils
+from tallyframe.plans.incremental import read_report, update_reports
+from tallyframe.plans.reports import FILE_NAMES, REGIONAL_AND_LA, REPORTS, area_rows, build_report, scored_pupils
 from tallyframe.plans.run import all_reports
 from tallyframe.plans.silver import register_views, renamed, silver
 from tallyframe.plans.spec import ReportSpec, mapped_columns, profile
-from tallyframe.sources.bronze import read_table, write_bronze_parquet, write_bronze_tables
-from tallyframe.sources.keyed import absent_rows, insert_if_absent, read_snapshot, write_snapshot
-from tallyframe.sources.schemas import BRONZE
-from tallyframe.sources.sinks import write_csv, write_table
+from tallyframe.sources.bronze import (
+    bronze_from_parquet,
+    read_table,
+    use_namespace,
+    write_bronze_parquet,
+    write_bronze_tables,
+)
+from tallyframe.sources.folders import partition_values
+from tallyframe.sources.keyed import absent_rows, insert_if_absent, read_keyed, read_snapshot, write_snapshot
+from tallyframe.sources.schemas import BRONZE, PARTITION_COLUMN, PARTITIONED
+from tallyframe.sources.sinks import write_csv, write_table, year_suffix
 from tallyframe.sources.staging import staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -820,3 +828,140 @@ WHERE NOT EXISTS (SELECT 1 FROM results r WHERE (r.pupil_mark < 20 OR r.pupil_ma
 GROUP BY ALL""",
     ),
 )
+
+
+# --- stored tables ------------------------------------------------------------
+
+
+def _stored_bronze(spark: SparkSession, sf: str, *names: str) -> str:
+    root = _folder(spark, "stored")
+    write_bronze_parquet({n: derived(spark, sf, n) for n in names or BRONZE}, root)
+    return root
+
+
+def _listed_periods(spark: SparkSession, sf: str) -> DataFrame:
+    root = _stored_bronze(spark, sf, "pupil")
+    years = partition_values(spark, f"{root}/pupil", PARTITION_COLUMN)
+    return spark.createDataFrame([(y,) for y in years], "acad_year_code string")
+
+
+register("listed_periods", _listed_periods, ORACLES["distinct_periods"])
+
+
+def _stored_last_periods(spark: SparkSession, sf: str) -> DataFrame:
+    root = _stored_bronze(spark, sf, "pupil")
+    pupils = spark.read.schema(BRONZE["pupil"]).parquet(f"{root}/pupil")
+    years = partition_values(spark, f"{root}/pupil", PARTITION_COLUMN)
+    return last_periods(pupils, 3, PARTITION_COLUMN, years).select("pupil_id", "acad_year_code", "school_id")
+
+
+register("stored_last_periods", _stored_last_periods, ORACLES["last_n_periods"])
+
+
+def _updated_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of three years, then the fourth year's raw rows, then of what is new."""
+    root, out = _folder(spark, "stored"), _folder(spark, "updated")
+    tables = {n: derived(spark, sf, n) for n in BRONZE}
+    late = F.col(PARTITION_COLUMN) == YEARS[-1]
+    write_bronze_parquet({n: df.filter(~late) if n in PARTITIONED else df for n, df in tables.items()}, root)
+    update_reports(spark, root, out)
+    write_bronze_parquet({n: tables[n].filter(late) for n in PARTITIONED}, root, mode="append")
+    if update_reports(spark, root, out) != [YEARS[-1]]:
+        raise AssertionError("a year without changes was made again")
+    return read_report(spark, out, "national_school")
+
+
+register("reports_updated_by_year", _updated_by_year, ORACLES["report_national_school"])
+
+
+def _replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A gold table that is replaced, through a write that fails."""
+    schema = f"rows_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema}")
+    report = build_report("national_school", bronze(spark, sf))
+    write_table(report.filter("time_period < '202324'"), "gold", schema)
+    write_table(report, "gold", schema)
+    broken = report.withColumn("sex", F.when(F.col("sex") < "\uffff", F.raise_error("broken").cast("string")))
+    try:
+        write_table(broken, "gold", schema)
+    except Exception as e:  # noqa: BLE001
+        if "broken" not in str(e):
+            raise
+    return read_table(spark, "gold", schema)
+
+
+register("gold_table_replaced", _replaced_table, ORACLES["report_national_school"])
+
+
+def _keyed_inserts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three inserts, the last one twice, into a table laid out by key."""
+    keys, path = ["pupil_id", "acad_year_code"], _folder(spark, "keyed")
+    for name in ("results", "claimcare", "pupil", "pupil"):
+        new = derived(spark, sf, name).select(*keys, F.lit(name).alias("origin"))
+        insert_if_absent(spark, path, new, keys, buckets=16)
+    return read_keyed(spark, path, new.schema)
+
+
+register(
+    "insert_if_absent_by_key_bucket",
+    _keyed_inserts,
+    oracle.with_tables(
+        "pupil", "claimcare", "results",
+        body="""SELECT pupil_id, acad_year_code, max(origin) AS origin FROM (
+  SELECT pupil_id, acad_year_code, 'pupil' AS origin FROM pupil p
+  WHERE NOT EXISTS (SELECT 1 FROM claimcare c WHERE c.pupil_id = p.pupil_id AND c.acad_year_code = p.acad_year_code)
+    AND NOT EXISTS (SELECT 1 FROM results r WHERE r.pupil_id = p.pupil_id AND r.acad_year_code = p.acad_year_code)
+  UNION ALL SELECT pupil_id, acad_year_code, 'claimcare' FROM claimcare
+  UNION ALL SELECT pupil_id, acad_year_code, 'results' FROM results) n
+GROUP BY ALL""",
+    ),
+)
+
+
+def _named_by_years(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV folder with its published name, found again by that name."""
+    report, root = REPORTS["national_cumulative"], _folder(spark, "named")
+    name = FILE_NAMES["national_cumulative"].format(years=year_suffix(YEARS))
+    write_csv(build_report("national_cumulative", bronze(spark, sf)), f"{root}/{name}", 3, report.sort_keys())
+    stored = spark.read.option("header", True).schema(report.schema)
+    return stored.csv(f"{root}/mtc_national_cumulative_score_distribution_2022_to_2025")
+
+
+register("csv_named_by_years", _named_by_years, ORACLES["report_national_cumulative"])
+
+
+def _namespace(spark: SparkSession, sf: str) -> DataFrame:
+    """A table by its bare name in the schema that is current."""
+    schema, before = f"rows_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {schema}")
+    write_bronze_tables({"results": derived(spark, sf, "results")}, schema)
+    use_namespace(spark, schema=schema)
+    try:
+        stored = read_table(spark, "results")
+    finally:
+        use_namespace(spark, schema=before)
+    return stored.select("pupil_id", "school_id", "acad_year_code", "pupil_mark", "completion_status")
+
+
+register("namespace_selection", _namespace, ORACLES["catalog_table_roundtrip"])
+
+register(
+    "report_with_bridge_check",
+    lambda spark, sf: build_report("national_pupil", bronze(spark, sf), check_bridge=True),
+    ORACLES["report_national_pupil"],
+)
+
+
+def _checked_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    stored = bronze_from_parquet(spark, _stored_bronze(spark, sf), check=True)
+    return stored.results.groupBy("acad_year_code").agg(F.count(F.lit(1)).alias("rows"), F.sum("pupil_mark").alias("marks"))
+
+
+register(
+    "checked_schemas",
+    _checked_bronze,
+    oracle.with_tables(
+        "results",
+        body="SELECT acad_year_code, count(*) AS rows, CAST(sum(pupil_mark) AS BIGINT) AS marks FROM results GROUP BY ALL",
+    ),
+)

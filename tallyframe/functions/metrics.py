@@ -60,3 +60,14 @@ def wide_percents(values: Iterable[int], count: str, whole: str, pattern: str, s
 def summed(names: Iterable[str]) -> list[Column]:
     """Second-level aggregates: partial counts and totals add up under the same name."""
     return [F.expr(f"sum({name(n)}) AS {name(n)}") for n in names]
+
+
+def distinct_count(column: str) -> Column:
+    """Exact number of distinct values, NULLs left out, as a set that merges like a sum.
+
+    COUNT(DISTINCT) beside other measures groups by the keys and the column first, with all the measures, and shuffles
+    these rows, then groups again. A set is part of the same aggregate as the measures, is put together
+    in the tasks, and one row per group and task is shuffled. A group holds its distinct values in memory while it
+    is merged: for columns of which there are so few values that this is little, such as schools.
+    """
+    return F.size(F.collect_set(column)).cast("long")

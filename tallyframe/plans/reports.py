@@ -30,6 +30,7 @@ from tallyframe.functions.decode import Labels
 from tallyframe.functions.metrics import (
     average,
     differs_or_null,
+    distinct_count,
     percent,
     status_counts,
     summed,
@@ -147,12 +148,27 @@ def pupil_measures() -> list:
     ]
 
 
+#: more partitions than any stage has
+_EVERY_PARTITION = 1 << 30
+
+
+def own_stage(df: DataFrame) -> DataFrame:
+    """``df`` with its generated code apart from that of what follows.
+
+    Spark puts all operators up to the next exchange into one generated method per stage, and the JVM compiles no method
+    of more than 8,000 bytes: beyond that a stage is interpreted. An operator without generated code ends a
+    stage; this one merges partitions to at most so many as never are, so it moves no rows.
+    """
+    return df.coalesce(_EVERY_PARTITION)
+
+
 def with_ratios(df: DataFrame) -> DataFrame:
     """Averages and percentages of an aggregate, in one projection.
 
-    Averages and score percentages are over completed checks, status percentages over eligible pupils.
+    Averages and score percentages are over completed checks, status percentages over eligible pupils. With some eighty
+    measures they are a stage of their own, beside the one that makes the counts.
     """
-    return df.select(
+    return own_stage(df).select(
         "*",
         average(SCORE_TOTAL, DONE).alias(SCORE_AVERAGE),
         *[percent(count, ELIGIBLE).alias(name) for name, count in STATUS_PERCENTS.items()],
@@ -220,7 +236,7 @@ def national_pupil_family(facts: DataFrame, bronze: Bronze, labels: Labels, how:
     areas = area_rows(bronze.geography, NATIONAL, labels, "new_la_code", *COUNTRY_DIMS)
     rows = labels.canonical(facts, dims).join(areas, "new_la_code")
     grouped = rows.groupBy("time_period", *COUNTRY_DIMS, *dims).agg(
-        F.countDistinct("school_id").alias(ESTABLISHMENTS), *pupil_measures()
+        distinct_count("school_id").alias(ESTABLISHMENTS), *pupil_measures()
     )
     return labels.decode(grouped, dims)
 
@@ -238,7 +254,7 @@ def regional_pupil_family(facts: DataFrame, bronze: Bronze, labels: Labels, how:
     grouped = (
         labels.canonical(facts, dims)
         .groupBy("time_period", "new_la_code", *dims)
-        .agg(F.countDistinct("school_id").alias(ESTABLISHMENTS), *pupil_measures())
+        .agg(distinct_count("school_id").alias(ESTABLISHMENTS), *pupil_measures())
     )
     placed = grouped.join(areas, "new_la_code").withColumns(
         {name: F.expr(f"{name} * __copies") for name in ADDITIVE}
@@ -262,7 +278,9 @@ def school_family(facts: DataFrame, bronze: Bronze, labels: Labels, how: str) ->
         .groupBy("time_period", "country_code", "country_name", *SCHOOL_DIMS)
         .agg(
             F.count("school_id").alias(ESTABLISHMENTS),
-            *[F.expr(f"sum({name} * coalesce(__copies, 1)) AS {name}") for name in ADDITIVE],
+            # counts are never NULL; telling Spark so spares a test in each of the ratios
+            *[F.expr(f"coalesce(sum({name} * coalesce(__copies, 1)), 0) AS {name}") for name in ADDITIVE if name != SCORE_TOTAL],
+            F.expr(f"sum({SCORE_TOTAL} * coalesce(__copies, 1)) AS {SCORE_TOTAL}"),
         ),
         geographic_level="National",
     )
