@@ -1,4 +1,4 @@
-"""Exact dedup: a tree-merge of sorted digest runs."""
+"""Exact dedup: a tree-merge of digest runs."""
 
 from __future__ import annotations
 
@@ -17,11 +17,11 @@ _KEY = ("digest", "n_norm", "proof")
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = FAN_IN
 ) -> DataFrame:
-    """For every row the row that stays of its group of equal texts.
+    """For every row the row that stays of its group of equal texts. Ids are integers of any width.
 
     Texts are equal when they are the same without ASCII white space. The longest original text stays (in code
     points), of those the smallest id, then the first row of the table. Each input partition gives a run of
-    (digest, best row, count), sorted by digest and with one entry per digest. At level r the ``fan_in`` runs
+    (digest, best row, count), grouped by digest and with one entry per digest. At level r the ``fan_in`` runs
     whose numbers agree after their last r digits are merged by digest, so log(partitions) levels are
     left with one run. A run is spread by digest over all tasks at every level, so no task ever holds a whole
     run, and a digest that a third of all rows share arrives once per run. Beside the SHA-256 digest, entries

@@ -125,7 +125,7 @@ def _in_blocks(texts: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every document with the one of the next smaller id; the last is followed by the first.
+    """Every document with the one of the next smaller id; the last is followed by the first. Ids are integers.
 
     Ids are dealt to blocks between quantiles, about a thousand documents each and 20,000 blocks at most. A window
     orders each block, and its last document takes the first one of the next block that has any: block
