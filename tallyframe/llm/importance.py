@@ -269,7 +269,9 @@ def resampled(
     id_type = source.schema["doc_id"].dataType.simpleString()
     keyed = source.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")
     schema = f"doc_id struct<doc_id:{id_type},text_hash:long>, n_words long, n_features long, weight long"
-    weighed = keyed.mapInArrow(_weighing(sizes, gain), schema).select("doc_id.*", "n_words", "n_features", "weight")
+    # stored, as the sort by range reads its input twice
+    weighed = checkpointed(keyed.mapInArrow(_weighing(sizes, gain), schema))
+    weighed = weighed.select("doc_id.*", "n_words", "n_features", "weight")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     scored = weighed.withColumn("score", F.col("weight") + luck(name, seed))
     scored = scored.withColumn("able", F.col("n_words") >= least_words)
