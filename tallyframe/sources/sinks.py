@@ -53,8 +53,8 @@ def write_table(df: DataFrame, table: str, schema: str | None = None, catalog: s
 
     A table that is there keeps its rows while the new ones are written to a folder of their own; then its location
     is set to that folder, one step in the catalog. A write that fails changes nothing. The version
-    before stays on disk for readers that have begun, and goes with the next write. If the columns change,
-    the new table is made under another name and the two names are exchanged, so that for a moment there is none.
+    before stays on disk for readers that have begun, and goes with the next write. If the columns change, or the table
+    is partitioned, bucketed or of another format, the new table is made under another name and the two names are exchanged, so that for a moment there is none.
     Catalogs other than the session's replace tables in one step by themselves.
     """
     spark, name = df.sparkSession, qualified(table, schema, catalog)
@@ -66,7 +66,8 @@ def write_table(df: DataFrame, table: str, schema: str | None = None, catalog: s
         return
     known = _described(spark, name)
     old = known["Location"].rstrip("/")
-    if spark.table(name).schema.simpleString() != df.schema.simpleString() or known.get("Provider") != "parquet":
+    plain = known.get("Provider") == "parquet" and not any(c.isPartition or c.isBucket for c in spark.catalog.listColumns(name))
+    if not plain or spark.table(name).schema.simpleString() != df.schema.simpleString():
         _exchange(df, name, qualified(f"{table}__{uuid.uuid4().hex}", schema, catalog))
         return
     folder, _, last = old.rpartition("/")

@@ -17,7 +17,8 @@ def staging_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
     In local mode an unset folder becomes a temporary one. On a cluster that would be local to one
-    machine, so there it is an error.
+    machine, so there it is an error. A configured folder of the local file system is taken as a mount that all
+    machines share; whether it is one can't be told from its name.
     """
     configured = spark.conf.get(_SETTING, None)
     if configured:

@@ -152,6 +152,9 @@ def test_other_columns_exchange_the_tables(spark, schema, table):
     assert rows(spark.table(name)) == rows(table)
     write_table(table.withColumn("more", F.lit(1)), "wider", schema)
     assert spark.table(name).columns == ["s", "n", "more"]
+    table.write.partitionBy("n").saveAsTable(qualified("parted", schema))
+    write_table(table, "parted", schema)
+    assert rows(spark.table(qualified("parted", schema))) == rows(table)
     left = [t.name for t in spark.catalog.listTables(schema) if t.name.startswith("wider") and t.name.endswith("_old")]
     assert left == []
 
