@@ -310,12 +310,17 @@ def _across(steps: Steps, rows: DataFrame) -> DataFrame:
     told = {
         "n_rows": F.count(F.lit(1)).over(bucket), "least": F.min("group").over(bucket), "most": F.max("group").over(bucket),
     }
-    met = rows.join(hot, "key", "left_anti").withColumns(told)
-    crowded = rows.join(hot, "key", "left_semi")
-    counted = crowded.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("group").alias("least"), F.max("group").alias("most")
-    )
-    every = met.unionByName(crowded.join(counted, "key")) if not hot.isEmpty() else rows.withColumns(told)
+    found_hot = not hot.isEmpty()
+    others = rows.join(hot, "key", "left_anti") if found_hot else rows
+    # most classes are their own group, which needs no bytes in the shuffle
+    dealt = others.select("key", "cid", F.nullif("group", "cid").alias("group")).repartition("key")
+    every = dealt.select("key", "cid", F.coalesce("group", "cid").alias("group")).withColumns(told)
+    if found_hot:
+        crowded = rows.join(hot, "key", "left_semi")
+        counted = crowded.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min("group").alias("least"), F.max("group").alias("most")
+        )
+        every = every.unionByName(crowded.join(counted, "key"))
     return steps.stored(every.filter("least != most").select("key", "cid", "group", "n_rows"))
 
 
@@ -430,9 +435,15 @@ def similar_documents(
             "digest", "doc_id", "class_size", "n_shingles", "shown.*", F.monotonically_increasing_id().alias("cid")
         )
     )
-    first = classes.select("cid", F.col("cid").alias("group"), F.explode("keys").alias("key"))
+    # from here on without what only the first steps need
+    wide, described = described, steps.stored(described.select("run", "digest", "doc_id"))
+    steps.remove(wide)
     only_texts = texts.select("text")
+    common = spark.sparkContext.broadcast(_common_shingles(classes))
+    first = classes.select("cid", F.col("cid").alias("group"), F.explode("keys").alias("key"))
     pairs, shared = _star_pairs(steps, first)
+    wide, classes = classes, steps.stored(classes.drop("keys", "sample"))
+    steps.remove(wide)
     easy = _links(steps, pairs, classes, only_texts, size, percent)
     steps.remove(shared)
     groups = components(easy)
@@ -440,7 +451,6 @@ def similar_documents(
     numbered = classes.filter("n_shingles > 0").select("digest", "cid").join(
         groups.withColumnRenamed("node", "cid"), "cid", "left"
     ).select("digest", "cid", F.coalesce("root", "cid").alias("group"))
-    common = spark.sparkContext.broadcast(_common_shingles(classes))
     schema = "digest binary, keys array<long>"
     shown = map_texts(only_texts, lambda: _show_all(size, bands, common), schema, step_bytes=STEP)
     shown = shown.groupBy("digest").agg(F.first("keys").alias("keys")).join(numbered, "digest")
@@ -462,7 +472,7 @@ def similar_documents(
     rooted = classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(names, "root").select("digest", "component_id", "class_size", "n_shingles")
-    in_runs = local.select("run", "digest").join(named, "digest")
+    in_runs = described.select("run", "digest").distinct().join(named, "digest")
     # sets that are empty are no class: each such document stands for itself
     return described.select("run", "digest", "doc_id").join(in_runs, ["run", "digest"]).select(
         "doc_id",
