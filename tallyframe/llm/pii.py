@@ -14,13 +14,31 @@ ROUNDS = 8
 FIRST_DATE, DATE_SIDE = "1900-01-01", 270
 
 # Formats that are looked for, in the order in which they are tried at a place. Fixed values.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){0,8}(?<=\.[A-Za-z]{2,24})"
+_L = "\\u00C0-\\u024F"
+EMAIL = (
+    rf"(?<![A-Za-z0-9{_L}._%+-])[A-Za-z0-9{_L}._%+-]{{1,64}}+@[A-Za-z0-9{_L}-]{{1,63}}+"
+    rf"(?:\.[A-Za-z0-9{_L}-]{{1,63}}+){{0,8}}(?<=\.[A-Za-z{_L}]{{2,24}})"
+)
+KEY_BLOCK = (
+    r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\s:,]{16,}+"
+    r"-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"
+)
 SECRET = (
     r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
-    r"(?=[A-Za-z+/_.-]*+\d)[A-Za-z0-9+/_.-]{12,}(?<!\.)"
+    r"(?=[A-Za-z+/_.!@#$%^&*~-]*+\d)[A-Za-z0-9+/_.!@#$%^&*~-]{12,}(?<![.!])"
+)
+BEARER = r"\b[Bb]earer\s{1,3}(?=[A-Za-z+/_.~-]*+\d)[A-Za-z0-9+/_.~-]{16,}(?<!\.)"
+TOKEN = (
+    r"(?<![A-Za-z0-9_-])(?:gh[oprsu]_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abeoprs]-|npm_|pypi-)"
+    r"(?=[A-Za-z_-]*+\d)[A-Za-z0-9_-]{16,}"
 )
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"
-IPV4 = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
+IPV4 = r"(?<![\w.])(?<![Vv]ersion )(?<!release )(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
+IPV6 = (
+    r"(?<![\w:.])(?=[0-9A-Fa-f:]{2,39}(?![\w:]))(?=[:A-Fa-f]*+\d)"
+    r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])"
+)
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ISO_DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?!\w|-\d)"
 LONG_DATE = r"(?<![\w./])\d{2}([./])\d{2}\1\d{4}(?!\w|[./]\d)"
 PHONE = r"(?<!\w)\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)"
@@ -28,23 +46,30 @@ LOCAL_PHONE = (
     r"(?<![\w(])\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
     r"|(?<![\w+(.-])(?<!\d[ ])\d{3}(?:-\d{3}-|\.\d{3}\.|[ ]\d{3}[ ])\d{4}(?!\w|[ .-]\d)"
 )
+NATIONAL_PHONE = r"(?<![\w+(.-])(?<!\d[ ])0\d{1,4}(?:[ ]\d{3,4}[ ]|-\d{3,4}-)\d{3,4}(?!\w|[ .-]\d)"
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?!\w|-\d)"
 CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d)"
 
 KINDS = {
+    "key_block": KEY_BLOCK,
     "email": EMAIL,
     "secret": SECRET,
+    "bearer": BEARER,
+    "token": TOKEN,
     "access_key": ACCESS_KEY,
+    "iban": IBAN,
     "ipv4": IPV4,
+    "ipv6": IPV6,
     "iso_date": ISO_DATE,
     "date": LONG_DATE,
     "phone": PHONE,
+    "national_phone": NATIONAL_PHONE,
     "local_phone": LOCAL_PHONE,
     "social": SOCIAL,
     "card": CARD,
 }
 #: what stands between the digits of a number
-SEPARATORS = " .-()+"
+SEPARATORS = " .-()+:"
 #: country codes: of one digit, of two, else of three
 COUNTRY = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ANY = "|".join(KINDS.values())
@@ -149,6 +174,34 @@ def _address(text: Column, key: str) -> Column:
     return F.coalesce(F.array_join(F.transform(new, lambda x: x.cast("string")), "."), text)
 
 
+def _address6(text: Column, key: str) -> Column:
+    """Its hexadecimal digits in place, in the case that they are in."""
+    new = _spaced(text, lambda digits: permuted(F.lower(digits), key, "ipv6"))
+    return F.when((text == F.upper(text)) & (text != F.lower(text)), F.upper(new)).otherwise(F.lower(new))
+
+
+def _remainder(account: Column) -> Column:
+    """An account number's remainder by 97, letters counting from 10 on."""
+
+    def step(done: Column, c: Column) -> Column:
+        value = F.position(c, F.lit(_DIGITS + _UPPER)) - 1
+        return F.when(value < 10, (done * 10 + value) % 97).otherwise((done * 100 + value) % 97).cast("int")
+
+    return F.aggregate(F.filter(F.split(account, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _account(bare: Column, key: str) -> Column:
+    """An account number with right check digits, with new ones; any other stays."""
+    country, inner = F.substring(bare, 1, 2), F.substring(bare, F.lit(5), F.length(bare))
+    valid = _remainder(F.concat(inner, F.substring(bare, 1, 4))) == 1
+
+    def checked(new: Column) -> Column:
+        digits = 98 - _remainder(F.concat(new, country, F.lit("00")))
+        return F.concat(country, F.lpad(digits.cast("string"), 2, "0"), new)
+
+    return F.when(valid, _let(permuted(inner, key, "iban"), checked)).otherwise(bare)
+
+
 def _date(text: Column, key: str, formats: list[str]) -> Column:
     """A date of the first format that it is valid in, moved among the days of about two centuries."""
     out = text
@@ -222,12 +275,25 @@ def pseudonym(match: Column, kind: Column, key: str) -> Column:
             F.concat(permuted(local, key, "email"), F.substring(match, F.length(local) + 1, F.length(match))),
         )
         .when(kind == "secret", _behind(match, key, "secret", r"^[^=:]*[=:]\s*[\"']?"))
+        .when(kind == "bearer", _behind(match, key, "secret", r"^[Bb]earer\s+"))
+        .when(kind == "token", _behind(match, key, "secret", "^(?:github_pat_|[rs]k_live_|[a-z]+[_-])"))
+        .when(
+            kind == "key_block",
+            F.concat(
+                F.regexp_extract(match, "^-----[A-Z0-9 ]+-----", 0),
+                permuted(F.regexp_extract(match, "^-----[A-Z0-9 ]+-----([^-]*)", 1), key, "secret"),
+                F.regexp_extract(match, "-----[A-Z0-9 ]+-----$", 0),
+            ),
+        )
+        .when(kind == "iban", _spaced(match, lambda bare: _account(bare, key)))
+        .when(kind == "ipv6", _address6(match, key))
         .when(kind == "access_key", _behind(match, key, "access_key", "^[A-Z]{4}"))
         .when(kind == "ipv4", _address(match, key))
         .when(kind == "iso_date", _date(match, key, ["yyyy-MM-dd"]))
         .when((kind == "date") & match.contains("."), _date(match, key, ["dd.MM.yyyy", "MM.dd.yyyy"]))
         .when(kind == "date", _date(match, key, ["dd/MM/yyyy", "MM/dd/yyyy"]))
         .when(kind == "phone", _spaced(match, lambda digits: _behind(digits, key, "phone", COUNTRY)))
+        .when(kind == "national_phone", _spaced(match, lambda digits: _behind(digits, key, "national", "^0")))
         .when(kind == "local_phone", _spaced(match, lambda digits: permuted(digits, key, "phone")))
         .when(kind == "social", _spaced(match, lambda digits: permuted(digits, key, "social")))
         .when(kind == "card", _spaced(match, lambda digits: _card(digits, key)))
@@ -239,15 +305,21 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     """Every text with its personal numbers, dates, addresses and secrets replaced by keyed pseudonyms.
 
     Numbers and dates are permuted within their format by a Feistel network, if they are valid: card numbers by
-    the Luhn check, whose digit is made anew, IPv4 addresses by their octets, dates by the calendar. Of mail
-    addresses the local part is permuted, of phone numbers what follows the country code, of keys and
-    passwords the value. Equal values have equal pseudonyms in all texts and different ones have different ones,
-    card, phone and social numbers in whatever notation: their bare digits are permuted, separators stay. So links between documents stay; with another ``key`` they are others. Whoever has the key can invert it.
+    the Luhn check, whose digit is made anew, IPv4 addresses by their octets, dates by the calendar, bank accounts (IBAN)
+    by their check digits, which are made anew. Of mail addresses the local part is permuted (letters beyond ASCII stay), of
+    IPv6 addresses the digits, of phone numbers what follows the country code, of keys and passwords the value, of private-key
+    blocks the body. Equal values have equal pseudonyms in all texts and different ones have different ones,
+    card, phone, account and social numbers in whatever notation: their bare digits are permuted, separators stay. So
+    links between documents stay; with another ``key`` they are others. Whoever has the key can invert it.
 
     A key or password is what follows one of the names in SECRET and = or :, whole, if it has 12 or more letters,
-    digits and any of +/_.- and at least one digit. What stays: values without a digit, shorter ones, those behind
-    another name or none (but AKIA and ASIA keys), and what follows any other character in a value. Phone numbers
-    are those with + and those of three, three and four digits with brackets, dashes, dots or spaces; others stay.
+    digits and any of +/_.!@#$%^&*~- and at least one digit; the same behind ``Bearer``, and tokens that begin as TOKEN
+    and ACCESS_KEY say. What stays: values without a digit, shorter ones, those behind another name or none, what
+    follows any other character in a value, a name parted from its value by four blanks or more, and mail addresses
+    with a local part over 64 characters or more than nine domain labels. Phone numbers are those with +,
+    those of three, three and four digits with brackets, dashes, dots or spaces, and those of three groups that begin
+    with 0; others stay, and so do social numbers without dashes. Four numbers with dots right after ``version`` or
+    ``release`` are no address.
 
     All of this is column expressions, row by row; nothing is shuffled. Most texts have neither digits nor @ and
     are passed by.
