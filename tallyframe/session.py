@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # lets tables bucketed by pupil join on (pupil, year) without a shuffle
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # sets of establishments are hashed for so many groups of a task before they are sorted (128 by default): some 30 MB
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     # a report is several hundred column calls; recording the call site of each doubles the planning time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
