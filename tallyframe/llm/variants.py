@@ -209,13 +209,14 @@ def near_words(words: DataFrame, most: int = LIST) -> DataFrame:
     """All pairs of words exactly one inserted, deleted or replaced code point apart, in both directions.
 
     ``words``: word, n, with distinct words. Lists of words that share one half are dealt over the cluster and sorted;
-    a task holds one list at a time.
+    a task holds one list at a time. They are dealt by a hash of their key: Spark takes a dealing by the key itself out of the
+    plan after a join on it, and may cut that join's skewed partitions, and so lists, in parts.
 
     Columns: word, n, near, near_n.
     """
     found = None
     for rows in bounded_lists(words, most):
-        rows = rows.select("word", "n", *_LIST).repartition(*_LIST).sortWithinPartitions(*_LIST)
+        rows = rows.select("word", "n", *_LIST).repartition(F.xxhash64(*_LIST)).sortWithinPartitions(*_LIST)
         pairs = rows.mapInArrow(_scanned, "word string, n long, near string, near_n long")
         found = pairs if found is None else found.unionAll(pairs)
     return found.distinct()

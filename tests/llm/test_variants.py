@@ -1,5 +1,6 @@
 """Spelling variants against comparing all words with all."""
 
+import itertools
 import random
 import re
 import zlib
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.llm.variants import bounded_lists, near_in_list, near_words, roots, spelling_variants
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def one_edit(a, b):
@@ -67,6 +68,20 @@ def test_near_words_with_split_lists(spark, most):
     assert got == sorted((a, b) for a in words for b in words if one_edit(a, b))
 
 
+def test_lists_are_dealt_after_joins(spark):
+    # Spark splits skewed partitions of a join, and lists with them, unless they are dealt by themselves
+    words = ["".join(w) for w in itertools.product("abc", repeat=6)]
+    table = spark.createDataFrame([(w, 1) for w in words], "word string, n long").repartition(8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(near_words(table, 30))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("LeftAnti") > 0
+    assert text.count("REPARTITION_BY_COL") == text.count("MapInArrow")
+
+
 def test_against_brute_force(spark):
     rnd = random.Random(6)
     stems = ["nation", "Station", "stations", "éclair", "eclairs", "ÉCLAIRS", "working", "workings", "worlings", "xworking", "cafétier", "quoique"]
