@@ -111,6 +111,23 @@ def test_bucketed_facts_join_without_a_shuffle(spark, bronze):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_tasks_that_write_buckets_dont_grow_with_the_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS large_buckets")
+    columns = ["md5(cast(id AS STRING)) AS pupil_id", "'202324' AS acad_year_code", "md5(cast(-id AS STRING)) AS school_id"]
+    pupils = spark.range(0, 40000, 1, 8).selectExpr(*columns)
+    pupils = pupils.withColumns({f.name: F.lit(None).cast(f.dataType) for f in BRONZE["results"] if f.name not in pupils.columns})
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_bronze_tables({"results": pupils}, "large_buckets", buckets=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table("large_buckets.results")
+    per_file = stored.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("pupil_id"), F.max("pupil_id"))
+    # the rows have some 2.5 MB, and two tasks had half of them each
+    assert max(r.n for r in per_file.collect()) < 10000
+    assert rows(stored.select("pupil_id", "school_id")) == rows(pupils.select("pupil_id", "school_id"))
+
+
 def test_views_from_sql(spark, bronze):
     register_views(bronze)
     got = spark.sql("SELECT sex, count(*) AS n FROM v_pupil GROUP BY sex")
