@@ -3,8 +3,9 @@ import os
 
 import pytest
 
-from tallyframe.plans.reports import REPORTS, build_report
+from tallyframe.plans.reports import FACT_KEY, FAMILIES, REPORTS, build_report, claimed_pupils, scored_pupils
 from tallyframe.plans.run import all_reports, write_all_csv, write_all_tables
+from tallyframe.sources.staging import Stage
 from tests.conftest import plan, rows
 from tests.test_reports import as_bronze, random_tables
 
@@ -56,6 +57,16 @@ def test_staged_tables_are_removed(spark, bronze, tmp_path):
     assert set(os.listdir(root)) == before
 
 
+def test_fact_rows_are_staged_once(spark, bronze):
+    with Stage(spark) as stage:
+        all_reports(spark, bronze, stage=stage)
+        stored = sorted(os.listdir(stage.path.removeprefix("file:")))
+        assert stored == sorted(["facts", "geography", *FAMILIES])
+        facts = spark.read.parquet(f"{stage.path}/facts")
+        assert rows(facts.filter("__claim IS NOT NULL").select(*FACT_KEY)) == rows(claimed_pupils(bronze).select(*FACT_KEY))
+        assert rows(facts.filter("__claim IS NULL OR __claim = 1").select(*FACT_KEY)) == rows(scored_pupils(bronze).select(*FACT_KEY))
+
+
 def test_default_label_for_the_whole_run(spark, bronze):
     for name, df in all_reports(spark, bronze, default="Total").items():
         assert rows(df) == rows(build_report(name, bronze, default="Total")), name
