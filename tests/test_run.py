@@ -78,3 +78,15 @@ def test_table_run(spark, bronze):
     assert len(written) == 7 and "mtc_national_school_characteristics" in written
     got = spark.table("gold.mtc_national_school_characteristics")
     assert rows(got) == rows(build_report("national_school", bronze, periods="202223"))
+
+
+def test_sets_are_hashed_in_sessions_made_elsewhere(spark, bronze):
+    setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(setting)
+    try:
+        for given, used in (("128", "20000"), ("500", "500")):
+            spark.conf.set(setting, given)
+            build_report("national_pupil", bronze)
+            assert spark.conf.get(setting) == used
+    finally:
+        spark.conf.set(setting, before)
