@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.reports import build_report, pupil_measures, scored_pupils
 from tallyframe.sources.bronze import Bronze
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -87,3 +87,12 @@ def test_hot_authority(bronze, no_broadcast):
     df = build_report("national_pupil", bronze)
     assert rows(df.groupBy().sum("eligible_pupil_count")) == [(PUPILS,)]
     assert df.agg(F.max("establishment_count")).first()[0] <= 50
+
+
+def test_areas_of_unknown_size_move_no_pupils(bronze, no_broadcast):
+    for filters in ({}, {"country_name": "England"}):
+        for how in ("inner", "left"):
+            df = build_report("national_pupil", bronze, filters=filters, how=how)
+            joins = plan(df)
+            assert "SortMergeJoin [new_la_code" not in joins and "SortMergeJoin [la_code_new" not in joins
+            assert rows(df.groupBy().sum("eligible_pupil_count")) == [(PUPILS,)]
