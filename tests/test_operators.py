@@ -135,3 +135,11 @@ def test_partition_sizing():
     assert initial_partitions(0) == 200
     assert initial_partitions(1 << 40) == 8192
     assert initial_partitions(100 << 40) == 819_200
+
+
+def test_scanned_parts():
+    from tallyframe.session import scan_bytes
+
+    assert scan_bytes(0) == scan_bytes(100 << 30) == 16 << 20
+    assert scan_bytes(3 << 40) == -(-(3 << 40) // 50_000)
+    assert scan_bytes(100 << 40) == 128 << 20

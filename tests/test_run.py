@@ -90,3 +90,19 @@ def test_sets_are_hashed_in_sessions_made_elsewhere(spark, bronze):
             assert spark.conf.get(setting) == used
     finally:
         spark.conf.set(setting, before)
+
+
+def test_parts_are_small_in_sessions_made_elsewhere(spark, bronze):
+    settings = {
+        "spark.sql.files.maxPartitionBytes": ("134217728b", "16m", "32m"),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("67108864b", "16m", "8m"),
+    }
+    for setting, (default, used, chosen) in settings.items():
+        before = spark.conf.get(setting)
+        try:
+            for given, kept in ((default, used), (chosen, chosen)):
+                spark.conf.set(setting, given)
+                build_report("national_school_scores", bronze)
+                assert spark.conf.get(setting) == kept
+        finally:
+            spark.conf.set(setting, before)
