@@ -106,3 +106,20 @@ def test_parts_are_small_in_sessions_made_elsewhere(spark, bronze):
                 assert spark.conf.get(setting) == kept
         finally:
             spark.conf.set(setting, before)
+
+
+def test_parts_are_small_before_the_facts_are_staged(spark, bronze, monkeypatch):
+    setting, seen, write = "spark.sql.files.maxPartitionBytes", [], Stage.tables
+
+    def noted(stage, frames):
+        seen.append((sorted(frames), spark.conf.get(setting)))
+        return write(stage, frames)
+
+    monkeypatch.setattr(Stage, "tables", noted)
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "134217728b")
+        all_reports(spark, bronze)
+    finally:
+        spark.conf.set(setting, before)
+    assert seen[0] == (["facts", "geography"], "16m")
